@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import stored
+from .shared import stored, width
 
 WEIGHTS = (3, 1, 2)  # by the place of a source in code-point order, repeating
 SHARE = 1.5  # of all sizes
 MOST = 2.0  # times its own size, at which a target stops
+BROADCAST = 20_000  # sources whose targets are sent to all tasks
 RANK_BITS = 16  # ranking values are counted in 2**16 classes before the one at the edge is ordered
 
 
@@ -46,6 +47,20 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     return levels.select("source", "source_size", F.least(F.col("cap"), level * F.col("w")).alias("target"))
 
 
+def _attach(rows: DataFrame, small: DataFrame, n: int) -> DataFrame:
+    """rows with the columns of small (one row for each source, n in all) beside their source's; a left join.
+
+    Up to BROADCAST sources small is broadcast: its size is counted, not assumed. Beyond that it is repeated under a
+    salt, so that a source with a third of the rows is joined in many tasks.
+    """
+    if n <= BROADCAST:
+        return rows.join(F.broadcast(small), rows["source"].eqNullSafe(small["_source"]), "left").drop("_source")
+    salts = width(rows.sparkSession)
+    many = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    rows = rows.withColumn("_row_salt", F.pmod(F.xxhash64("doc_id", "tie"), F.lit(salts)).cast("int"))
+    return rows.join(many, rows["source"].eqNullSafe(many["_source"]) & (rows["_row_salt"] == many["_salt"]), "left").drop("_source", "_salt", "_row_salt")
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: str = "mix") -> DataFrame:
     """One row per row of docs: doc_id, source, size, source_size, target, copies, taken.
 
@@ -62,21 +77,22 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     targets = stored(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most), "mix-targets")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     plan = targets.select(F.col("source").alias("_source"), "source_size", "target", F.floor(ratio).alias("whole"), (ratio - F.floor(ratio)).alias("p"))
-    joined = rows.join(plan, rows["source"].eqNullSafe(plan["_source"]))
+    n_sources = targets.count()
+    joined = _attach(rows, plan, n_sources)
     u = _uniform(F.col("doc_id"), seed)
     odds = F.when(F.col("p") > 0, (u / (1 - u)) / (F.col("p") / (1 - F.col("p"))))
     ranked = joined.withColumn("rank", odds).withColumn("cls", F.floor(F.col("rank") / (1 + F.col("rank")) * (1 << RANK_BITS)).cast("int"))
-    return _take(ranked)
+    return _take(ranked, n_sources)
 
 
-def _take(ranked: DataFrame) -> DataFrame:
+def _take(ranked: DataFrame, n_sources: int) -> DataFrame:
     """Adds copies and taken to ranked rows."""
     missing = F.col("target") - F.col("whole") * F.col("source_size")
     classes = ranked.where("cls is not null").groupBy("source", "cls").agg(F.sum("size").alias("words"), F.first("target").alias("target"), F.first("whole").alias("whole"), F.first("source_size").alias("source_size"))
     upto = Window.partitionBy("source").orderBy("cls")
     run = classes.withColumn("upto", F.sum("words").over(upto)).withColumn("before", F.col("upto") - F.col("words"))
-    edge = run.where((F.col("before") <= missing) & (F.col("upto") > missing)).select(F.col("source").alias("_edge_source"), F.col("cls").alias("edge"), (missing - F.col("before")).alias("room"))
-    marked = ranked.join(edge, ranked["source"].eqNullSafe(edge["_edge_source"]), "left")
+    edge = run.where((F.col("before") <= missing) & (F.col("upto") > missing)).select(F.col("source").alias("_source"), F.col("cls").alias("edge"), (missing - F.col("before")).alias("room"))
+    marked = _attach(ranked, edge, n_sources)
     inner = (F.col("cls") < F.col("edge")) | F.col("edge").isNull()
     at_edge = marked.where(F.col("cls") == F.col("edge"))
     order = Window.partitionBy("source", "cls").orderBy("rank", "doc_id", "tie")
