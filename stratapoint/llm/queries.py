@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, mixing, url_filter
+from . import exact_dedup, language_id, mixing, packing, toxicity, url_filter
 from .shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,10 +21,28 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_copies(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (_crc(3) == 1).alias("held_out"))
+    labels = table(spark, sf_dir, "labels").where(_crc(3) != 1).where("toxic is not null").select("doc_id", "toxic")
+    bounded = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(toxicity.SAMPLE)  # so few rows can be broadcast
+    model = toxicity.fit(docs.join(F.broadcast(bounded), "doc_id"))
+    return toxicity.score(docs, model, keep=("held_out",)).select("doc_id", "held_out", "score", "predicted", "hits")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (_crc(4) == 2).alias("held_out"))
     prototypes = language_id.fit(docs.where("not held_out"))
@@ -38,7 +56,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op3_best_fit_packing": op3_best_fit_packing,
         "op6_url_filters": op6_url_filters,
+        "op7_toxicity": op7_toxicity,
         "op9_language_id": op9_language_id,
         "op10_mixing": op10_mixing,
     }
