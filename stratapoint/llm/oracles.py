@@ -52,8 +52,21 @@ e AS (SELECT *, (whole + CASE WHEN p > 0 AND filled - size / 2.0 <= target - who
 SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken, source, copies FROM e
 """
 
+OP5 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(CASE WHEN len(w) >= 13 THEN range(1, len(w) - 11) ELSE []::BIGINT[] END) AS pos FROM d),
+g AS (SELECT doc_id, pos, array_to_string(w[pos:pos + 12], ' ') AS win FROM p),
+f AS (SELECT win, min(doc_id) AS least FROM g GROUP BY win HAVING min(doc_id) < max(doc_id)),
+h AS (SELECT DISTINCT g.doc_id, g.pos + o.o AS pos FROM g JOIN f USING (win), (SELECT unnest(range(0, 13)) AS o) o WHERE f.least < g.doc_id),
+e AS (SELECT d.doc_id, w.word, w.pos FROM d, LATERAL (SELECT unnest(d.w) AS word, unnest(range(1, len(d.w) + 1)) AS pos) w),
+k AS (SELECT e.doc_id, string_agg(e.word, ' ' ORDER BY e.pos) AS kept, count(*) AS n FROM e ANTI JOIN h ON e.doc_id = h.doc_id AND e.pos = h.pos GROUP BY e.doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, (len(d.w) - coalesce(k.n, 0))::BIGINT AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": OP1,
+    "op5_substring_dedup": OP5,
     "op6_url_filters": _op6(),
     "op10_mixing": OP10,
 }
