@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _U = np.uint64
+LAST_ID = (1 << 63) - 1  # stands for a null id: no id is larger
 
 
 @dataclass(frozen=True)
@@ -34,9 +35,10 @@ def layout(docs: DataFrame, bytes_per_hash: int = 1) -> Layout:
     return Layout(max(16, -(-total // bucket)), int(ranges - 1).bit_length())
 
 
-def in_buckets(docs: DataFrame, lay: Layout) -> DataFrame:
-    """doc_id, text, bucket; dealt by a hash of the id, which no key of the data can unbalance."""
-    return docs.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(lay.buckets)).cast("int"))
+def in_buckets(docs: DataFrame, lay: Layout, instead: str = "text") -> DataFrame:
+    """docs with a bucket, dealt by a hash of doc_id; rows without an id by that of another column."""
+    key = F.when(F.col("doc_id").isNull(), F.xxhash64(instead)).otherwise(F.xxhash64("doc_id"))
+    return docs.withColumn("bucket", F.pmod(key, F.lit(lay.buckets)).cast("int"))
 
 
 def ranges(sorted_hashes: np.ndarray, lay: Layout) -> np.ndarray:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, mixing, packing, substring_dedup, toxicity, url_filter
+from . import exact_dedup, language_id, mixing, ngram_join, packing, substring_dedup, toxicity, url_filter
 from .shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_text=False).drop("kept_text")
 
@@ -61,6 +65,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op3_best_fit_packing": op3_best_fit_packing,
+        "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_url_filters": op6_url_filters,
         "op7_toxicity": op7_toxicity,

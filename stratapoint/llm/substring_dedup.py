@@ -21,7 +21,6 @@ from .words import Words, words
 
 WINDOW = 13
 BLOCK = 7  # 2 * BLOCK - 1 <= WINDOW: a window holds a whole aligned block
-LAST = (1 << 63) - 1  # stands for a null id: no id is larger
 
 ASK = pa.schema([("range", pa.int32()), ("bucket", pa.int32()), ("hashes", pa.binary()), ("ids", pa.binary()), ("many", pa.binary()), ("block", pa.binary())])
 TOLD = pa.schema([("bucket", pa.int32()), ("range", pa.int32()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary())])
@@ -43,7 +42,7 @@ class Bucket:
 
     def __init__(self, table: pa.Table, lay: x.Layout, block: int):
         self.lay, self.block = lay, block
-        self.ids = np.array([LAST if i is None else i for i in table["doc_id"].to_pylist()], np.int64)
+        self.ids = np.array([x.LAST_ID if i is None else i for i in table["doc_id"].to_pylist()], np.int64)
         self.bucket = table["bucket"][0].as_py() if table.num_rows else 0
         self.words: Words = words(table["text"])
         hashes, self.at = self.words.grams(block)
