@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, mixing, ngram_join, packing, substring_dedup, toxicity, url_filter
+from . import exact_dedup, html_extract, language_id, mixing, nearest, ngram_join, packing, substring_dedup, toxicity, url_filter
 from .shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_copies(table(spark, sf_dir, "documents"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -51,6 +55,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, keep=("held_out",)).select("doc_id", "held_out", "score", "predicted", "hits")
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (_crc(4) == 2).alias("held_out"))
     prototypes = language_id.fit(docs.where("not held_out"))
@@ -64,11 +72,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op2_html_extraction": op2_html_extraction,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_url_filters": op6_url_filters,
         "op7_toxicity": op7_toxicity,
+        "op8_nearest_neighbours": op8_nearest_neighbours,
         "op9_language_id": op9_language_id,
         "op10_mixing": op10_mixing,
     }
