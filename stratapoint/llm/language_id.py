@@ -152,6 +152,7 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], id_col: str = "
             columns = [batch.column(k) for k in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(preds, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names[:-1], "lang_pred", "score"])
 
-    rows = docs.select(*[F.col(c) for c in keep], F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
-    return rows.mapInArrow(predict, ", ".join([*schema, "lang_pred string", "score double"])).withColumnRenamed("_id", "doc_id")
+    out = rows.mapInArrow(predict, ", ".join([*schema, "lang_pred string", "score double"]))
+    return out.drop("_id") if "doc_id" in keep else out.withColumnRenamed("_id", "doc_id")

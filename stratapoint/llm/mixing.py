@@ -62,7 +62,7 @@ def _attach(rows: DataFrame, small: DataFrame, n: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: str = "mix") -> DataFrame:
-    """One row per row of docs: doc_id, source, size, source_size, target, copies, taken.
+    """One row per row of docs: doc_id, source, size, source_size, target, copies, taken, tie (a hash of the text).
 
     A source wants target / source_size copies of each document: the whole ones are certain; for the rest, documents are
     ranked by u/(1-u) divided by p/(1-p), with p the missing fraction, and taken from the least on until their
@@ -102,4 +102,12 @@ def _take(ranked: DataFrame, n_sources: int) -> DataFrame:
         marked.where(~F.coalesce(F.col("cls") == F.col("edge"), F.lit(False))).withColumn("extra", (F.col("cls").isNotNull() & inner).cast("int"))
     )
     copies = F.col("whole") + F.col("extra")
-    return done.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return done.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), "tie")
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The mix itself: the rows of docs, each as often as mix() takes it, with their columns."""
+    plan = mix(docs, id_col, text_col, **options).where("copies > 0")
+    plan = plan.groupBy(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).agg(F.max("copies").alias("_copies"))
+    found = docs.join(plan, docs[id_col].eqNullSafe(plan["_id"]) & (F.xxhash64(docs[text_col]) == plan["_tie"]))
+    return found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
