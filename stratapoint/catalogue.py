@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .plans import point_queries
+
+_GROUPS = (point_queries,)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: f for g in _GROUPS for name, f in g.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: text for g in _GROUPS for name, text in g.ORACLES.items()}
