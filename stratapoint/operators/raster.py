@@ -48,9 +48,9 @@ def at(i: int, j: int, value: str = "value") -> Column:
 
 
 def hillshade(cells: DataFrame, cell: float, azimuth: float = 315.0, height: float = 45.0, z_factor: float = 1.0, horn: bool = True, keys: Sequence[str] = ()) -> DataFrame:
-    """Shade from 1 (dark) to 255; null beside cells without a value. Slopes by Horn, or by Zevenbergen and Thorne.
+    """Shade from 1 (dark) to 255; null beside cells without a value and at the edge, so give tiles a halo.
 
-    At the edge of the raster the nearest cells are mirrored, as a filter does; give tiles a halo to avoid that.
+    Slopes by Horn, or by Zevenbergen and Thorne.
     """
     angle, up = math.radians(360 - azimuth + 90), math.radians(height)
     light = (math.cos(angle) * math.cos(up), math.sin(angle) * math.cos(up), math.sin(up))
@@ -64,7 +64,7 @@ def hillshade(cells: DataFrame, cell: float, azimuth: float = 315.0, height: flo
     dy = sum((v[o] * w for o, w in transposed.items()), F.lit(0.0)) * -scale
     lit = (-dx * light[0] - dy * light[1] + light[2]) / F.sqrt(dx * dx + dy * dy + 1)
     shade = F.floor(F.least(F.lit(255.0), F.greatest(F.lit(0.0), lit) * 254 + 1)).cast("int")
-    return got.select(*keys, "row", "col", shade.alias("value"))
+    return got.select(*keys, "row", "col", F.when(dx.isNotNull() & dy.isNotNull(), shade).alias("value"))
 
 
 def bilinear(queries: DataFrame, cells: DataFrame, x_centre: float, cx: float, y_centre: float, cy: float, keys: Sequence[str], value: str = "h") -> DataFrame:
@@ -74,14 +74,14 @@ def bilinear(queries: DataFrame, cells: DataFrame, x_centre: float, cx: float, y
     """
     px, py = (F.col("x") - x_centre) / cx, (F.lit(y_centre) - F.col("y")) / cy
     placed = queries.withColumns({"_j": F.floor(px).cast("int"), "_i": F.floor(py).cast("int")}).withColumns({"_dx": px - F.col("_j"), "_dy": py - F.col("_i")})
-    quads = stencil(cells, [(0, 0), (0, 1), (1, 1), (1, 0)], [at(0, 0).alias("a"), at(0, 1).alias("b"), at(1, 1).alias("c"), at(1, 0).alias("d"), F.max("di").alias("_down"), F.max("dj").alias("_right")])
-    quads = quads.where("_down = 1 and _right = 1 and a is not null").select(F.col("row").alias("_i"), F.col("col").alias("_j"), "a", "b", "c", "d")
-    b = F.coalesce("b", "a")
-    c = F.coalesce("c", b)
-    d = F.coalesce("d", c)
-    a, dx, dy = F.col("a"), F.col("_dx"), F.col("_dy")
+    quads = stencil(cells, [(0, 0), (0, 1), (1, 1), (1, 0)], [at(0, 0).alias("_a"), at(0, 1).alias("_b"), at(1, 1).alias("_c"), at(1, 0).alias("_d"), F.max("di").alias("_down"), F.max("dj").alias("_right")])
+    quads = quads.where("_down = 1 and _right = 1 and _a is not null").select(F.col("row").alias("_i"), F.col("col").alias("_j"), "_a", "_b", "_c", "_d")
+    b = F.coalesce("_b", "_a")
+    c = F.coalesce("_c", b)
+    d = F.coalesce("_d", c)
+    a, dx, dy = F.col("_a"), F.col("_dx"), F.col("_dy")
     mixed = a + dx * (b - a) + dy * (d - a) + dx * dy * (a - b - d + c)
-    return placed.join(quads, ["_i", "_j"], "left").withColumn(value, mixed).drop("_i", "_j", "_dx", "_dy", "a", "b", "c", "d")
+    return placed.join(quads, ["_i", "_j"], "left").withColumn(value, mixed).drop("_i", "_j", "_dx", "_dy", "_a", "_b", "_c", "_d")
 
 
 def to_ellipsoidal(points: DataFrame, geoid: DataFrame, x_centre: float, cx: float, y_centre: float, cy: float, back: bool = False) -> DataFrame:
@@ -215,8 +215,8 @@ def contours(cells: DataFrame, interval: float, xmin: float, ymax: float, cell:
     tri = quad.select(F.explode(F.array(*[F.struct(*[point(n).alias(m) for n, m in zip(t, "pqr", strict=True)]) for t in ("abc", "acd")])).alias("t")).select("t.*")
     z = [F.col(f"{m}.z") for m in "pqr"]
     low, high = F.least(*z), F.greatest(*z)
-    levels = F.expr("sequence(0L, 0L)") if interval <= 0 else F.sequence(F.floor(low / interval) + 1, F.floor(high / interval))
-    cut = tri.where(F.floor(low / interval) + 1 <= F.floor(high / interval)).withColumn("level", F.explode(levels) * interval)
+    levels = F.sequence(F.floor(low / interval) + 1, F.floor(high / interval))
+    cut = tri.where(F.floor(low / interval) + 1 <= F.floor(high / interval)).withColumn("level", F.explode(levels)).withColumn("level", F.col("level") * interval)
     lev = F.col("level")
 
     def crossing(m: str, n: str) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,27 +32,89 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def label(cells: DataFrame, axes: Sequence[str] = ("row", "col"), offsets: Sequence[tuple[int, ...]] | None = None, keys: Sequence[str] = ()) -> DataFrame:
+def label(cells: DataFrame, axes: Sequence[str] = ("row", "col"), offsets: Sequence[tuple[int, ...]] | None = None, keys: Sequence[str] = (), block: int | None = None) -> DataFrame:
     """Cells with the label of their region, its least cell as a string of its key and axes.
 
-    Each round a cell takes the least label around it and then the label of the cell that this label names, so distances
-    halve; it ends when no label changes.
+    Regions are found within blocks of cells first, each in one task; then only the links between cells on either side of a
+    block's border remain, one for each pair of regions. Over those the least label spreads, with shortcuts that halve
+    distances, until none changes.
     """
     offsets = offsets or [o for o in FOUR if any(o)]
-    base = F.struct(*[F.col(k) for k in keys], *[F.col(a) for a in axes])
+    block = block or (256 if len(axes) == 2 else 64)
     names = [*keys, *axes]
-    state = cut(cells.select(*names).distinct().withColumn("label", base), "regions")
+    own = cells.select(*names).distinct().withColumns({f"b_{a}": F.floor(F.col(a) / block).cast("int") for a in axes})
+    types = dict(own.dtypes)
+    schema = ", ".join(f"`{n}` {types[n]}" for n in names) + ", " + ", ".join(f"l_{a} int" for a in axes)
+    parts = cut(own.groupBy(*keys, *[f"b_{a}" for a in axes]).applyInArrow(_local_labels(names, axes, offsets), schema), "regions")
+
+    named = F.concat_ws("_", *[F.col(n).cast("string") for n in [*keys, *[f"l_{a}" for a in axes]]])
+    least = F.struct(*keys, *[F.col(f"l_{a}") for a in axes])
+    at_border = reduce(or_, [(F.pmod(F.col(a), F.lit(block)) == e) for a in axes for e in (0, block - 1)])
     steps = F.explode(F.array(*[F.struct(*[F.lit(d).alias(a) for a, d in zip(axes, o, strict=True)]) for o in offsets]))
+    border = parts.where(at_border).withColumn("label", least)
+    across = border.withColumn("s", steps).select(*keys, *[(F.col(a) + F.col(f"s.{a}")).alias(a) for a in axes], F.col("label").alias("a"))
+    links = cut(across.join(border.select(*names, F.col("label").alias("b")), names).where("a <> b").select("a", "b").distinct(), "region-links")
+    if not links.limit(1).count():
+        return parts.select(*names, named.alias("label"))
+    found = _spread(links)
+    merged = parts.withColumn("label", least).join(found, "label", "left").withColumn("label", F.coalesce("root", "label"))
+    return merged.select(*names, F.concat_ws("_", *[F.col(f"label.{n}").cast("string") for n in [*keys, *[f"l_{a}" for a in axes]]]).alias("label"))
+
+
+def _local_labels(names: Sequence[str], axes: Sequence[str], offsets: Sequence[tuple[int, ...]]):
+    """A function that labels the cells of one block with their region's least cell."""
+    import numpy as np
+    import pyarrow as pa
+
+    def run(table: pa.Table) -> pa.Table:
+        at = np.stack([table[a].to_numpy().astype(np.int64) for a in axes], axis=1)
+        low = at.min(axis=0) - 1
+        span = at.max(axis=0) - low + 2
+        flat = np.zeros(len(at), np.int64)
+        for k in range(len(axes)):
+            flat = flat * span[k] + at[:, k] - low[k]
+        order = np.argsort(flat)
+        sorted_flat = flat[order]
+        pairs = []
+        for o in offsets:
+            step = 0
+            for k, d in enumerate(o):
+                step = step * int(span[k]) + d
+            if step > 0:
+                where = np.searchsorted(sorted_flat, sorted_flat + step)
+                hit = np.flatnonzero(sorted_flat[np.minimum(where, len(where) - 1)] == sorted_flat + step)
+                pairs.append(np.stack([hit, where[hit]]))
+        label = np.arange(len(at))
+        u, v = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
+        while len(u):
+            before = label.copy()
+            m = np.minimum(label[u], label[v])
+            for side in (u, v):
+                np.minimum.at(label, label[side], m)
+                np.minimum.at(label, side, m)
+            label = label[label]
+            if (label == before).all():
+                break
+        least = at[order][label]
+        columns = {n: table[n].take(pa.array(order)) for n in names}
+        columns |= {f"l_{a}": pa.array(least[:, k].astype(np.int32)) for k, a in enumerate(axes)}
+        return pa.table(columns)
+
+    return run
+
+
+def _spread(links: DataFrame) -> DataFrame:
+    """label, root: the least label of each component of symmetric links (a, b)."""
+    state = cut(links.groupBy(F.col("a").alias("label")).agg(F.min("b").alias("b")).select("label", F.least("label", "b").alias("root")), "region-roots")
     while True:
-        spread = state.withColumn("s", steps).select(*keys, *[(F.col(a) + F.col(f"s.{a}")).alias(a) for a in axes], "label")
-        least = spread.groupBy(*names).agg(F.min("label").alias("near"))
-        taken = state.join(least, names, "left").withColumn("now", F.least("label", F.coalesce("near", "label")))
-        named = state.select(F.struct(*[F.col(n) for n in names]).alias("now"), F.col("label").alias("up"))
-        after = cut(taken.join(named, "now", "left").select(*names, "label", F.least("now", F.coalesce("up", "now")).alias("now")), "regions")
-        changed = after.where("label <> now").limit(1).count()
-        state = after.select(*names, F.col("now").alias("label"))
+        near = links.join(state.select(F.col("label").alias("b"), "root"), "b").groupBy(F.col("a").alias("label")).agg(F.min("root").alias("near"))
+        taken = state.join(near, "label").select("label", "root", F.least("root", "near").alias("now"))
+        up = state.select(F.col("label").alias("now"), F.col("root").alias("up"))
+        after = cut(taken.join(up, "now", "left").select("label", "root", F.least("now", F.coalesce("up", "now")).alias("now")), "region-roots")
+        changed = after.where("root <> now").limit(1).count()
+        state = after.select("label", F.col("now").alias("root"))
         if not changed:
-            return state.withColumn("label", F.concat_ws("_", *[F.col(f"label.{n}").cast("string") for n in names]))
+            return state
 
 
 def expand_water(add: DataFrame, water: DataFrame) -> DataFrame:
