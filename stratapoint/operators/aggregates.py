@@ -122,7 +122,7 @@ def moving_bins(points: DataFrame, radius: float, keys: Sequence[str] = ("tile",
 def histogram(points: DataFrame, bins: int, keys: Sequence[str] = ("tile",), value: str = "z") -> DataFrame:
     """Counts in equal bins between a group's least and greatest value; the last bin is closed."""
     ends = points.groupBy(*keys).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    at = F.floor((F.col(value) - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins)
+    at = F.floor(F.try_divide(F.col(value) - F.col("lo"), F.col("hi") - F.col("lo")) * bins)
     return points.join(ends, list(keys)).groupBy(*keys, F.coalesce(F.least(at, F.lit(bins - 1)), F.lit(0)).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 

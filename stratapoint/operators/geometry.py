@@ -57,9 +57,10 @@ def ray_crosses(x: Column, y: Column, far_x: Column, far_y: Column, s) -> Column
     ex, ey = s["x2"] - s["x1"], s["y2"] - s["y1"]
     det = dx * ey - dy * ex
     px, py = s["x1"] - x, s["y1"] - y
-    t, u = (px * ey - py * ex) / det, (px * dy - py * dx) / det
+    safe = F.when(F.abs(det) >= PARALLEL, det)  # else null, and no crossing
+    t, u = (px * ey - py * ex) / safe, (px * dy - py * dx) / safe
     within = lambda v: (v > -EDGE) & (v < 1 + EDGE)
-    return (F.abs(det) >= PARALLEL) & within(t) & within(u)
+    return F.coalesce(within(t) & within(u), F.lit(False))
 
 
 def points_in_polygons(points: DataFrame, vertices: DataFrame, cell: float = 50.0) -> DataFrame:

@@ -107,9 +107,9 @@ def line_displacements(vertices: DataFrame) -> DataFrame:
         ox, oy = (F.lead(c, 1).over(order) if step == 1 else F.lag(c, 1).over(order) for c in ("x", "y"))
         dx, dy = ((ox - F.col("x")) * step, (oy - F.col("y")) * step)
         size = F.sqrt(dx * dx + dy * dy)
-        out = out.withColumn(name, F.when(ox.isNotNull(), F.struct((-dy / size).alias("x"), (dx / size).alias("y"))))
+        out = out.withColumn(name, F.when(size > 0, F.struct(F.try_divide(-dy, size).alias("x"), F.try_divide(dx, size).alias("y"))))
     dot = F.col("n1.x") * F.col("n2.x") + F.col("n1.y") * F.col("n2.y")
-    inner = [(F.col(f"n1.{a}") + F.col(f"n2.{a}")) / (1 + dot) for a in "xy"]
+    inner = [F.try_divide(F.col(f"n1.{a}") + F.col(f"n2.{a}"), 1 + dot) for a in "xy"]
     return out.select("feat_id", "seq", "x", "y", *[F.coalesce(inner[k], F.col(f"n1.{a}"), F.col(f"n2.{a}")).alias(f"d{a}") for k, a in enumerate("xy")])
 
 
@@ -122,7 +122,7 @@ def helmert(pairs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     n = F.col("n")
     top = F.col("cross") - n * (F.col("mx") * F.col("mu") + F.col("my") * F.col("mv"))
     bottom = F.col("square") - n * (F.col("mx") ** 2 + F.col("my") ** 2)
-    scaled = sums.withColumn("scale", F.when(bottom > 0, top / bottom))
+    scaled = sums.withColumn("scale", F.when(bottom > 0, F.try_divide(top, bottom)))
     return scaled.select(*keys, "scale", (F.col("mu") - F.col("scale") * F.col("mx")).alias("dx"), (F.col("mv") - F.col("scale") * F.col("my")).alias("dy"), "n")
 
 

@@ -221,7 +221,7 @@ def contours(cells: DataFrame, interval: float, xmin: float, ymax: float, cell:
 
     def crossing(m: str, n: str) -> Column:
         u, v = F.col(m), F.col(n)
-        t = (lev - u["z"]) / (v["z"] - u["z"])
+        t = F.try_divide(lev - u["z"], v["z"] - u["z"])
         across = ((u["z"] < lev) & (v["z"] >= lev)) | ((v["z"] < lev) & (u["z"] >= lev))
         return F.when(across, F.struct((u["x"] + t * (v["x"] - u["x"])).alias("x"), (u["y"] + t * (v["y"] - u["y"])).alias("y")))
 
@@ -282,7 +282,7 @@ def _touched(seg: DataFrame, xmin: float, ymax: float, cell: float, rows: int, c
     py = lambda a: (F.lit(ymax) - F.col(a)) / cell
     s = seg.withColumns({"ax": px("x1"), "bx": px("x2"), "ay": py("y1"), "by": py("y2")})
     cuts = lambda a, b: F.when(
-        F.floor(F.greatest(a, b)) > F.floor(F.least(a, b)), F.transform(F.sequence(F.floor(F.least(a, b)) + 1, F.floor(F.greatest(a, b))), lambda g: (g - a) / (b - a))
+        F.floor(F.greatest(a, b)) > F.floor(F.least(a, b)), F.transform(F.sequence(F.floor(F.least(a, b)) + 1, F.floor(F.greatest(a, b))), lambda g: F.try_divide(g - a, b - a))
     ).otherwise(F.array().cast("array<double>"))
     ts = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), cuts(F.col("ax"), F.col("bx")), cuts(F.col("ay"), F.col("by")))))
     parts = s.withColumn("ts", ts).withColumn("k", F.explode(F.sequence(F.lit(1), F.size("ts") - 1))).withColumn("t", (F.col("ts")[F.col("k") - 1] + F.col("ts")[F.col("k")]) / 2)
