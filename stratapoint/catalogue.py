@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import point_queries, raster_queries, surface_queries
+from .plans import point_queries, raster_queries, surface_queries, system_queries
 
-_GROUPS = (point_queries, raster_queries, surface_queries)
+_GROUPS = (point_queries, raster_queries, surface_queries, system_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -6,6 +6,8 @@ import math
 
 import numpy as np
 
+SLOPES = (math.tan(math.radians(18)), math.tan(math.radians(60)))  # of roofs that are searched
+
 Plane = tuple[float, float, float, float, float]  # z = a x + b y + c, share of the points, tilt in degrees
 
 
@@ -29,7 +31,7 @@ def search_planes(xyz: np.ndarray, angles: tuple[float, float], slopes: tuple[fl
     return out
 
 
-def find_planes(xyz: np.ndarray, slopes: tuple[float, float] = (0.2, 2.5), steps: tuple[int, int] = (15, 20)) -> list[Plane]:
+def find_planes(xyz: np.ndarray, slopes: tuple[float, float] = SLOPES, steps: tuple[int, int] = (32, 14)) -> list[Plane]:
     """Tilted planes of a roof: a coarse search, then a finer one around every candidate. None for flat roofs."""
     z = xyz[:, 2]
     bins = max(int(round(np.ptp(z)) / 0.2), 1)

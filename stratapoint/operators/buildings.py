@@ -43,8 +43,6 @@ def per_feature(points: DataFrame, rings: DataFrame, fit: Callable[[np.ndarray,
     return points.select(*cols).groupBy("feat_id", *extra).cogroup(shapes.groupBy("feat_id", *extra)).applyInArrow(run, ddl)
 
 
-STEPS = (32, 14)  # of the coarse and the fine plane search
-
 RIDGE = pa.schema([(n, pa.float64()) for n in ("rotation", "dist1", "dist2", "z", "x1", "y1", "x2", "y2")])
 
 
@@ -54,7 +52,7 @@ def ridge(xyz: np.ndarray, rings: list[np.ndarray], least: int = 10) -> list[dic
         return []
     origin = rings[0].mean(axis=0)
     local = xyz - [*origin, 0]
-    pair = fitting.ridge_pair(fitting.find_planes(local, steps=STEPS))
+    pair = fitting.ridge_pair(fitting.find_planes(local))
     if pair is None:
         return []
     hits = fitting.ridge_on_outline(rings[0] - origin, fitting.ridge_line(pair))
