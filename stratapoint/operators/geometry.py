@@ -125,3 +125,37 @@ def polygon_wkt(vertices: DataFrame) -> DataFrame:
     text = ring.select("feat_id", "ring", F.concat(F.lit("("), F.array_join(F.transform("v", lambda p: F.format_string("%.2f %.2f", p["x"], p["y"])), ","), F.lit(")")).alias("t"))
     rings = text.groupBy("feat_id").agg(F.sort_array(F.collect_list(F.struct("ring", "t"))).alias("r"))
     return rings.select("feat_id", F.concat(F.lit("POLYGON("), F.array_join("r.t", ","), F.lit(")")).alias("wkt"))
+
+
+def clip_polygons(vertices: DataFrame, xmin: float, ymin: float, xmax: float, ymax: float) -> DataFrame:
+    """Rings (feat_id, ring, seq, x, y) of the parts of polygons inside a box, closed; rings without area there are dropped.
+
+    Each ring is cut by one side of the box after the other, in the task that holds it.
+    """
+    import pyarrow as pa
+
+    schema = pa.schema([("feat_id", pa.int32()), ("ring", pa.int32()), ("seq", pa.int32()), ("x", pa.float64()), ("y", pa.float64())])
+    sides = [(0, xmin, 1), (0, xmax, -1), (1, ymin, 1), (1, ymax, -1)]
+
+    def cut(table: pa.Table) -> pa.Table:
+        table = table.sort_by("seq")
+        ring = list(zip(table["x"].to_pylist(), table["y"].to_pylist(), strict=True))[:-1]
+        for axis, limit, sign in sides:
+            kept = []
+            for a, b in zip(ring, ring[1:] + ring[:1], strict=True):
+                in_a, in_b = sign * (a[axis] - limit) >= 0, sign * (b[axis] - limit) >= 0
+                if in_a:
+                    kept.append(a)
+                if in_a != in_b:
+                    t = (limit - a[axis]) / (b[axis] - a[axis])
+                    at = [a[0] + t * (b[0] - a[0]), a[1] + t * (b[1] - a[1])]
+                    at[axis] = limit
+                    kept.append(tuple(at))
+            ring = kept
+        area = sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:] + ring[:1], strict=True)) if ring else 0.0
+        ring = [*ring, ring[0]] if ring and abs(area) > 1e-9 else []
+        n = len(ring)
+        head = [pa.array([table[c][0].as_py()] * n, pa.int32()) for c in ("feat_id", "ring")]
+        return pa.Table.from_arrays([*head, pa.array(range(n), pa.int32()), *[pa.array([p[k] for p in ring], pa.float64()) for k in (0, 1)]], schema=schema)
+
+    return vertices.select("feat_id", "ring", "seq", "x", "y").groupBy("feat_id", "ring").applyInArrow(cut, "feat_id int, ring int, seq int, x double, y double")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..model import tile_index, tile_of_path
-from ..operators import geometry
+from ..operators import focal, geometry, raster
 from ..sources import tiles
 from ..streaming.arrivals import daily_counts
 from . import derived as D
@@ -65,3 +65,23 @@ def clip_lines_to_tile(s, d):
     box = F.struct(F.lit(632950.0).alias("xmin"), F.lit(0.0).alias("ymin"), F.lit(633050.0).alias("xmax"), F.lit(1e9).alias("ymax"))
     cut = seg.withColumn("p", geometry.clip_segment(F.col("s"), box)).where("p is not null and p.x1 <> p.x2")
     return cut.select("feat_id", "seq", F.round((F.col("p.x1") - F.col("x1")) / (F.col("x2") - F.col("x1")), 9).alias("t0"))
+
+
+@query("clip_polygons_to_box")
+def clip_polygons_to_box(s, d):
+    return geometry.clip_polygons(D.polygons(s), 632930.0, 6173930.0, 633065.0, 6174065.0)
+
+
+@query("lake_voids", "WITH " + D.SQL["points"] + ",\n" + D.SQL["polygons"] + """, m AS (SELECT r::INT AS row, q::INT AS col, 632900.0::DOUBLE + (q + 0.5) * 2 AS x, 6174100.0::DOUBLE - (r + 0.5) * 2 AS y FROM range(100) a(r), range(100) b(q)),
+seg AS (SELECT x AS x1, y AS y1, lead(x) OVER w AS x2, lead(y) OVER w AS y2 FROM polygons WHERE ptype = 'lake' WINDOW w AS (PARTITION BY feat_id, ring ORDER BY seq)),
+i AS (SELECT row, col, x, y FROM m JOIN seg ON x2 IS NOT NULL AND (y1 > y) <> (y2 > y) AND x < (x2 - x1) * (y - y1) / (y2 - y1) + x1 GROUP BY 1, 2, 3, 4 HAVING count(*) % 2 = 1),
+h AS (SELECT x AS px, y AS py, floor(x / 1.5)::INT + i AS gx, floor(y / 1.5)::INT + j AS gy FROM points, range(-1, 2) a(i), range(-1, 2) b(j)),
+e AS (SELECT row, col, count(px) AS n FROM i LEFT JOIN h ON gx = floor(x / 1.5)::INT AND gy = floor(y / 1.5)::INT AND (px - x) ** 2 + (py - y) ** 2 <= 2.25 GROUP BY 1, 2)
+SELECT 2 AS feat_id, bool_or(n = 0) AS has_voids FROM e""")
+def lake_voids(s, d):
+    """Lakes with a place inside that no point lies within 1.5 m of."""
+    lakes = D.polygons(s).where("ptype = 'lake'")
+    centres = raster.mesh_points(raster.mesh(s, 100, 100), D.X0, D.Y1, 2.0)
+    inside = geometry.points_in_polygons(centres, lakes).select("feat_id", "row", "col", "x", "y")
+    density = focal.density_filter(inside, D.points(s, d).select("x", "y", "z"), 1.5, ["feat_id", "row", "col", "x", "y"])
+    return density.groupBy("feat_id").agg(F.bool_or(F.col("value") == 0).alias("has_voids"))

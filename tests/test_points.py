@@ -86,3 +86,11 @@ def test_extents():
     with pytest.raises(ValueError):
         raster.intersect_extents((0, 0, 1, 1, 1), (3, 3, 4, 4, 1))
     assert raster.grid_extent(0.0, 10.0, 2.0, 3, 4) == (0.0, 4.0, 8.0, 10.0)
+
+
+def test_clip_polygons(spark):
+    ring = [(0, 0), (10, 0), (10, 10), (0, 10), (0, 0)]
+    v = spark.createDataFrame([(1, 0, q, float(x), float(y)) for q, (x, y) in enumerate(ring)] + [(2, 0, q, x + 50.0, float(y)) for q, (x, y) in enumerate(ring)], "feat_id int, ring int, seq int, x double, y double")
+    got = geometry.clip_polygons(v, -5.0, 5.0, 4.0, 50.0)
+    assert {r.feat_id: r.area for r in geometry.polygon_area(got).collect()} == {1: 20.0}
+    assert geometry.unclosed_rings(got).count() == 0
