@@ -3,8 +3,9 @@
 Shingles are ordered from rare to frequent by their exact document frequency. Two similar sets share a shingle of
 their prefixes, so prefixes are joined; pairs must pass length and positional filters, are verified once each (with
 a suffix filter before the sets are merged) and end as links. Shingles of one document cannot be shared and are never
-sent. Links matter only between what is not yet connected: a round links every posting list to its first member, and
-later rounds look only at lists whose members are still in different components, until none is left.
+sent. Links matter only between what is not yet connected: the first round compares every posting list with its first
+member; later ones look only at lists whose members are still in different components, gathered by their first member,
+and compare some members with all, then all pairs of different components, so that no link between those is missed.
 """
 
 from __future__ import annotations
@@ -24,14 +25,17 @@ from .words import mix, words
 
 SHINGLE = 5
 PERCENT = 75
-BLOCK = 1024  # members of a posting list that one task compares with as many others
+BLOCK = 1024  # documents around one first member that one task compares with as many others
+FEW = 64  # documents that are compared with all others at once
+HUBS = 4  # documents of a block that a round compares with all others
+SKETCH = 512  # bits of a set's parities
 REPRESENTS = -1  # in place of a range: the bucket holds the class of this digest
-HUB_ROUNDS = 3  # rounds in which long unresolved lists are compared with some hubs before all pairs are
+HUB_ROUNDS = 3  # rounds of that kind before all pairs of different components are compared
 _U = np.uint64
 
 ASK = pa.schema([("range", pa.int32()), ("bucket", pa.int32()), ("hashes", pa.binary()), ("n", pa.binary())])
 TOLD = pa.schema([("bucket", pa.int32()), ("range", pa.int32()), ("levels", pa.binary())])
-SET = pa.schema([("doc_id", pa.int64()), ("digest", pa.string()), ("size", pa.int64()), ("tokens", pa.list_(pa.int64())), ("ranks", pa.list_(pa.int32())), ("shared", pa.binary())])
+SET = pa.schema([("doc_id", pa.int64()), ("digest", pa.string()), ("size", pa.int64()), ("tokens", pa.list_(pa.int64())), ("ranks", pa.list_(pa.int32())), ("shared", pa.binary()), ("sketch", pa.binary())])
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -109,7 +113,7 @@ def _class_rows(table: pa.Table, told: pa.Table) -> tuple[pa.Table, list[str]]:
         if digest in ours and (digest not in best or key < best[digest]):
             best[digest] = key
     chosen = sorted((k, digest.hex()) for digest, (_, k) in best.items())
-    return table.take([k for k, _ in chosen]), [d for _, d in chosen]
+    return table.take(pa.array([k for k, _ in chosen], pa.int64())), [d for _, d in chosen]
 
 
 def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -128,7 +132,7 @@ def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     def choose(table: pa.Table, told: pa.Table) -> pa.Table:
         table, digests = _class_rows(table, told)
         if not table.num_rows:
-            return x.rows(SET, [[]] * 6)
+            return x.rows(SET, [[]] * 7)
         b = Bucket(table, lay, n)
         level = b.levels(told)
         out = []
@@ -138,19 +142,24 @@ def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
             p = prefix(size, percent) if size else 0
             alone = int((lv == 0).sum())
             if alone >= p:
-                out.append((doc_id, digests[k], size, [], [], None))
+                out.append((doc_id, digests[k], size, [], [], None, None))
                 continue
             order = np.lexsort((b.hashes[s], lv))[alone:p]
             shared = b.hashes[s][lv > 0]
-            out.append((doc_id, digests[k], size, b.hashes[s][order].view(np.int64), np.arange(alone, p), shared.tobytes()))
+            out.append((doc_id, digests[k], size, b.hashes[s][order].view(np.int64), np.arange(alone, p), shared.tobytes(), sketch(b.hashes[s])))
         return x.rows(SET, list(zip(*out, strict=True)))
 
     asked = work.groupBy("bucket").cogroup(reps.groupBy("bucket")).applyInArrow(ask, x.ddl(ASK))
     told = asked.groupBy("range").applyInArrow(_answer, x.ddl(TOLD)).unionByName(reps)
-    schema = "doc_id long, digest string, size long, tokens array<long>, ranks array<int>, shared binary"
+    schema = "doc_id long, digest string, size long, tokens array<long>, ranks array<int>, shared binary, sketch binary"
     return stored(work.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(choose, schema), "shingle-sets")
 
 
+def sketch(hashes: np.ndarray) -> bytes:
+    """Parities of the counts of SKETCH slots: two sets differ in at least as many elements as their sketches in bits."""
+    return np.packbits(np.bincount((hashes % _U(SKETCH)).astype(np.int64), minlength=SKETCH) & 1).tobytes()
+
+
 def may_match(size_a, rank_a, size_b, rank_b, percent: int):
     """Index-prefix, length and positional filters for a shingle at these ranks of two sets; columns or arrays."""
     small = F.least(size_a, size_b)
@@ -198,35 +207,63 @@ def _first_pairs(postings: DataFrame, percent: int) -> DataFrame:
     return both.where(may_match(F.col("hub.size"), F.col("hub.rank"), F.col("size"), F.col("rank"), percent)).select(F.col("hub.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct()
 
 
-def _later_pairs(postings: DataFrame, labels: DataFrame, percent: int, turn: int) -> DataFrame:
-    """Pairs of unconnected members of the lists that still have some; long lists go to many tasks, block by block."""
+def _later_pairs(postings: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Pairs of unconnected documents of posting lists that still have some.
+
+    Lists with the same first member, such as those of one group of copies, go together, so that a pair is made once for
+    them; many documents around one first member go to many tasks, block by block.
+    """
     labelled = postings.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    open_lists = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi").select("token", "n")
-    members = labelled.join(open_lists, "token")
+    lists = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("doc_id").alias("hub")).where("lo <> hi").select("token", "hub")
+    members = stored(labelled.join(lists, "token"), "open-lists")
+    sizes = members.groupBy("hub", "doc_id").agg(F.lit(1).alias("one")).groupBy("hub").agg(F.count("one").alias("n"))
+    sketches = sets.where("sketch is not null").groupBy("doc_id").agg(F.first("sketch").alias("sketch"))
+    members = members.join(sizes, "hub").join(sketches, "doc_id")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     members = members.withColumn("own", F.pmod(F.xxhash64("doc_id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    members = members.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc_id", "size", "rank", "component", "n")
+    members = members.select("hub", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "token", "doc_id", "size", "rank", "component", "n", "sketch")
 
     def compare(group: pa.Table) -> pa.Table:
-        ids, size, rank, comp, own = (group[c].to_numpy() for c in ("doc_id", "size", "rank", "component", "own"))
-        i, j = group["i"][0].as_py(), group["j"][0].as_py()
-        left = np.flatnonzero(own == i)
-        if turn < HUB_ROUNDS and len(ids) > 64:
-            comps, count = np.unique(comp, return_counts=True)
-            chosen = comps[np.argsort(-count, kind="stable")][turn * 8 : turn * 8 + 8]
-            left = np.array([k for k in left if comp[k] in chosen and ids[k] == ids[comp == comp[k]].min()], np.int64)
-        found: list[tuple[int, int]] = []
-        for k in left:
-            low, high = np.minimum(size, size[k]), np.maximum(size, size[k])
-            rank_low = np.where(size < size[k], rank, np.where(size > size[k], rank[k], np.minimum(rank, rank[k])))
-            index = low - -(-2 * percent * low // (100 + percent)) + 1
-            most = 1 + np.minimum(size - rank - 1, size[k] - rank[k] - 1)
-            ok = (own == j) & (comp != comp[k]) & (low * 100 >= high * percent) & (rank_low < index) & (most * (100 + percent) >= (size + size[k]) * percent)
-            found += [(min(ids[k], ids[m]), max(ids[k], ids[m])) for m in np.flatnonzero(ok)]
-        found = sorted(set(found))
-        return x.rows(PAIR, [[a for a, _ in found], [b for _, b in found]])
-
-    return members.groupBy("token", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+        group = group.sort_by([("token", "ascending")])
+        token, ids, size, rank, comp, own = (group[c].to_numpy() for c in ("token", "doc_id", "size", "rank", "component", "own"))
+        bits = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint64).reshape(len(ids), -1)
+        i, j, n = group["i"][0].as_py(), group["j"][0].as_py(), group["n"][0].as_py()
+        comps, count = np.unique(comp, return_counts=True)
+        largest = comps[count.argmax()]
+        if turn < HUB_ROUNDS and n > FEW:
+            some = np.unique(ids[own == i])
+            sides = [(some[np.argsort(mix(some.astype(_U) + _U(turn * 7919)), kind="stable")][:HUBS], j)]
+        else:  # of two documents in different components, one is outside the largest
+            sides = [(np.unique(ids[(own == u) & (comp != largest)]), v) for u, v in {(i, j), (j, i)}]
+        by_id = np.argsort(ids, kind="stable")
+        a_side, b_side = [], []
+        for mine, other in sides:
+            starts, stops = np.searchsorted(ids, mine, sorter=by_id), np.searchsorted(ids, mine, side="right", sorter=by_id)
+            for doc, u, v in zip(mine, starts, stops, strict=True):
+                rows = by_id[u:v]
+                lo, hi = np.searchsorted(token, token[rows]), np.searchsorted(token, token[rows], side="right")
+                k = np.repeat(rows, hi - lo)
+                m = np.arange(len(k)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)
+                ok = (own[m] == other) & (comp[m] != comp[k])
+                k, m = k[ok], m[ok]
+                low, high = np.minimum(size[k], size[m]), np.maximum(size[k], size[m])
+                rank_low = np.where(size[m] < size[k], rank[m], np.where(size[m] > size[k], rank[k], np.minimum(rank[k], rank[m])))
+                need = -(-percent * (low + high) // (100 + percent))
+                most = np.minimum(size[k] - rank[k], size[m] - rank[m])
+                m = np.unique(ids[m[(low * 100 >= high * percent) & (rank_low < low - -(-2 * percent * low // (100 + percent)) + 1) & (most >= need)]])
+                if len(m):
+                    at = by_id[np.searchsorted(ids, m, sorter=by_id)]
+                    differ = np.bitwise_count(bits[at] ^ bits[rows[0]]).sum(axis=1)
+                    total = size[at] + size[rows[0]]
+                    m = m[differ <= total - 2 * -(-percent * total // (100 + percent))]
+                a_side.append(np.minimum(m, doc))
+                b_side.append(np.maximum(m, doc))
+        if not a_side:
+            return PAIR.empty_table()
+        pairs = np.unique(np.stack([np.concatenate(a_side), np.concatenate(b_side)], axis=1), axis=0)
+        return x.rows(PAIR, [pairs[:, 0], pairs[:, 1]])
+
+    return members.groupBy("hub", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -248,7 +285,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = components(links)
     turn = 0
     while True:
-        more = stored(_later_pairs(postings, labels, percent, turn).join(pairs, ["a", "b"], "left_anti"), "pairs")
+        more = stored(_later_pairs(postings, sets_by_id, labels, percent, turn).join(pairs, ["a", "b"], "left_anti"), "pairs")
         if not more.limit(1).count():
             if turn >= HUB_ROUNDS:
                 break
