@@ -9,11 +9,13 @@ from __future__ import annotations
 
 import unicodedata
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
 END = 2  # id put after each document
 CACHE = 1 << 20  # distinct pre-tokens kept by a worker
+SLOT_BITS = 22
 EXACT_BELOW = 0x2E80  # code points classed by the tables here
 CHUNK = 1 << 19  # code points worked on at once
 
@@ -54,10 +56,15 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.at = np.zeros(0, np.int64)
-        self.n = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        """Pre-tokens are numbered as they come: refs by key, and a table with one place for each leading bits of a key,
+        which the first to come keeps."""
+        self.refs: dict[int, int] = {}
+        self.slot_key = np.zeros(1 << SLOT_BITS, np.uint64)
+        self.slot_ref = np.zeros(1 << SLOT_BITS, np.int32)
+        self.at = np.zeros(1 << 16, np.int64)
+        self.n = np.zeros(1 << 16, np.int64)
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.used = 0
 
     def plain(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -106,25 +113,44 @@ class Encoder:
             out[k] = ids[a:b]
 
     def _known(self, keys, starts, lengths, cps) -> np.ndarray:
-        """Places of the keys in the cache, after adding what is new."""
-        if len(self.keys) > CACHE:
+        """Numbers of the keys' pre-tokens, after adding those that are new."""
+        if len(self.refs) > CACHE:
             self._clear()
-        at = np.searchsorted(self.keys, keys)
-        miss = np.ones(len(keys), bool) if not len(self.keys) else self.keys[np.minimum(at, len(self.keys) - 1)] != keys
-        if miss.any():
-            new, first = np.unique(keys[miss], return_index=True)
-            first = np.flatnonzero(miss)[first]
-            words = [cps[starts[j] : starts[j] + lengths[j]].tobytes().decode("utf-32-le", "surrogatepass") for j in first]
-            got = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-            n = np.array([len(g) for g in got], np.int64)
-            base = len(self.ids)
-            self.ids = np.concatenate([self.ids, *[np.array(g, np.uint32) for g in got]])
-            order = np.argsort(joined := np.concatenate([self.keys, new]), kind="stable")
-            self.keys = joined[order]
-            self.at = np.concatenate([self.at, base + np.cumsum(n) - n])[order]
-            self.n = np.concatenate([self.n, n])[order]
-            at = np.searchsorted(self.keys, keys)
-        return at
+        slot = (keys >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        out = self.slot_ref[slot].astype(np.int64)
+        missed = np.flatnonzero(self.slot_key[slot] != keys)
+        if not len(missed):
+            return out
+        some, first, back = np.unique(keys[missed], return_index=True, return_inverse=True)
+        first = missed[first]
+        refs = np.array([self.refs.get(k, -1) for k in some.tolist()], np.int64)
+        new = np.flatnonzero(refs < 0)
+        if len(new):
+            text = cps.tobytes().decode("utf-32-le", "surrogatepass")
+            got = [e.ids for e in self.tokenizer.encode_batch_fast([text[a : a + n] for a, n in zip(starts[first[new]].tolist(), lengths[first[new]].tolist(), strict=True)], add_special_tokens=False)]
+            n = np.fromiter(map(len, got), np.int64, len(got))
+            base = len(self.refs)
+            refs[new] = np.arange(base, base + len(new))
+            self.at = _room(self.at, base + len(new))
+            self.n = _room(self.n, base + len(new))
+            self.ids = _room(self.ids, self.used + int(n.sum()))
+            self.at[base : base + len(new)] = self.used + np.cumsum(n) - n
+            self.n[base : base + len(new)] = n
+            self.ids[self.used : self.used + n.sum()] = np.fromiter(chain.from_iterable(got), np.uint32, n.sum())
+            self.used += int(n.sum())
+            self.refs.update(zip(some[new].tolist(), refs[new].tolist(), strict=True))
+            free = new[self.slot_key[slot[first[new]]] == 0][::-1]
+            self.slot_key[slot[first[free]]] = some[free]
+            self.slot_ref[slot[first[free]]] = refs[free]
+        out[missed] = refs[back]
+        return out
+
+
+def _room(array: np.ndarray, n: int) -> np.ndarray:
+    """The array, or one twice as long until it has n places."""
+    while len(array) < n:
+        array = np.concatenate([array, np.zeros_like(array)])
+    return array
 
 
 def pretoken_starts(cps: np.ndarray, ends: np.ndarray) -> np.ndarray:
