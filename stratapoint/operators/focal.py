@@ -1,8 +1,9 @@
 """Focal operators on points: aggregates over the neighbours within a radius.
 
-The data points are repeated to the 3 x 3 cells (of a size not under the radius) around theirs and joined with the query
-points of each cell; all neighbours of a query then lie in one partition, so the aggregation needs no second shuffle.
-The number of pairs grows with the density, not with the size of the table.
+measure() has the built-in ones: blocks of cells with a rim of neighbours, whose pairs numpy goes through in order.
+around() takes any SQL aggregate: the data points are repeated to the 3 x 3 cells (of a size not under the radius) around
+theirs and joined with the query points of each cell, so that the aggregation needs no second shuffle. In both the number
+of pairs grows with the density, not with the size of the table.
 """
 
 from __future__ import annotations
@@ -10,10 +11,11 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-Around = Callable[[], list[Column]]
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def around(queries: DataFrame, data: DataFrame, radius: float, aggregates: Sequence[Column], keys: Sequence[str], cell: float | None = None, within_radius: bool = True) -> DataFrame:
@@ -39,44 +41,169 @@ def around(queries: DataFrame, data: DataFrame, radius: float, aggregates: Seque
     return pairs.groupBy("gx", "gy", *keys).agg(*aggregates).drop("gx", "gy")
 
 
+BLOCK = 16  # cells along the side of a block
+PAIRS = 1 << 21  # pairs that a task looks at together
+
+Measure = Callable[["Near"], np.ndarray]
+
+
+class Near:
+    """Pairs of a run of queries with their neighbours: sums and extremes by query. NaN where there is none."""
+
+    def __init__(self, counts: np.ndarray, d2: np.ndarray, dx: np.ndarray, dy: np.ndarray, z: np.ndarray, own: np.ndarray):
+        self.n, self.d2, self.dx, self.dy, self.z, self.own = counts, d2, dx, dy, z, own
+        self.any = counts > 0
+        self.starts = (np.cumsum(counts) - counts)[self.any]
+
+    def reduce(self, how: np.ufunc, values: np.ndarray, empty: float = np.nan) -> np.ndarray:
+        out = np.full(len(self.n), empty)
+        if len(self.starts):
+            out[self.any] = how.reduceat(values, self.starts)
+        return out
+
+    def sum(self, values: np.ndarray) -> np.ndarray:
+        return self.reduce(np.add, values.astype(float), 0.0)
+
+    def mean(self, values: np.ndarray) -> np.ndarray:
+        with np.errstate(invalid="ignore", divide="ignore"):
+            return self.sum(values) / self.n
+
+    def median(self) -> np.ndarray:
+        query = np.repeat(np.arange(len(self.n)), self.n)
+        z = self.z[np.lexsort((self.z, query))]
+        first, n = (np.cumsum(self.n) - self.n)[self.any], self.n[self.any]
+        out = np.full(len(self.n), np.nan)
+        out[self.any] = (z[first + (n - 1) // 2] + z[first + n // 2]) / 2
+        return out
+
+    def idw(self) -> np.ndarray:
+        w = 1 / np.maximum(self.d2, 1e-8)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            return self.sum(self.z * w) / self.sum(w)
+
+    def variance(self) -> np.ndarray:
+        off = self.z - np.repeat(self.mean(self.z), self.n)
+        return np.where(self.n > 1, self.mean(off * off), np.nan)
+
+    def spike(self, radius: float, tan2: float, z_limit: float) -> np.ndarray:
+        dz = self.z - np.repeat(self.own, self.n)
+        steep = (np.abs(dz) > z_limit) & (dz * dz > tan2 * self.d2)
+        right, up = self.dx >= 0, self.dy >= 0
+        ok = self.n >= 4
+        for quadrant in (right & up, right & ~up, ~right & up, ~right & ~up):
+            ok &= self.sum(steep & quadrant) > 0
+        ok &= self.sum(~steep & (self.d2 > (0.2 * radius) ** 2)) == 0
+        ok &= ~((self.sum(dz > 1e-6) > 0) & (self.sum(dz < -1e-6) > 0))
+        return np.where(ok, self.mean(dz), 0.0)
+
+
+def measure(queries: DataFrame, data: DataFrame, radius: float, keys: Sequence[str], how: Measure, cell: float | None = None, within_radius: bool = True) -> DataFrame:
+    """keys and the value of `how` for each query row, told apart by keys, which include x and y (and z where it is used).
+
+    Space is cut into blocks of BLOCK cells; a block's task gets its queries and the data points up to a cell beyond it,
+    sorted by cell, so that a query's candidates are three runs of rows. A block's size follows from the density alone.
+    """
+    cell = cell or radius
+    if radius > cell:
+        raise ValueError("the radius exceeds the cells that are searched")
+    side = cell * BLOCK
+    at = lambda c, d=0.0: F.floor((F.col(c) + d) / side).cast("int")
+    mine = queries.select(*keys).withColumns({"_bx": at("x"), "_by": at("y")})
+    span = lambda c: F.sequence(at(c, -2 * cell), at(c, 2 * cell))
+    # other names than the queries': both sides may come from one table
+    spread = data.select(*[F.col(c).alias(f"n_{c}") for c in "xyz"]).withColumn("_nx", F.explode(span("n_x"))).withColumn("_ny", F.explode(span("n_y")))
+
+    out_schema = to_arrow_schema(queries.select(*keys).schema.add("value", "double"))
+
+    def run(asked: pa.Table, given: pa.Table) -> pa.Table:
+        if not asked.num_rows:  # a side without rows comes without columns
+            return out_schema.empty_table()
+        if not given.num_rows:
+            given = pa.table({f"n_{c}": pa.array([], pa.float64()) for c in "xyz"})
+        qx, qy = asked["x"].to_numpy(), asked["y"].to_numpy()
+        own = asked["z"].to_numpy() if "z" in keys else np.zeros(len(qx))
+        x, y, z = (given[f"n_{c}"].to_numpy() for c in "xyz")
+        cx, cy = np.floor(x / cell).astype(np.int64), np.floor(y / cell).astype(np.int64)
+        gx, gy = np.floor(qx / cell).astype(np.int64), np.floor(qy / cell).astype(np.int64)
+        low_x, low_y = gx.min() - 2, gy.min() - 2
+        width = int(gx.max() - low_x) + 4
+        inside = (cx >= low_x) & (cx < low_x + width) & (cy >= low_y)
+        code = ((cy - low_y) * width + cx - low_x)[inside]
+        order = np.argsort(code, kind="stable")
+        code, x, y, z = code[order], x[inside][order], y[inside][order], z[inside][order]
+        by_cell = np.lexsort((gx, gy))  # queries of a cell look at the same rows
+        value = np.empty(len(qx))
+        base = (gy - low_y) * width + gx - low_x
+        lo = np.stack([np.searchsorted(code, base[by_cell] + i * width - 1) for i in (-1, 0, 1)], axis=1)
+        hi = np.stack([np.searchsorted(code, base[by_cell] + i * width + 1, side="right") for i in (-1, 0, 1)], axis=1)
+        size = (hi - lo).sum(axis=1)
+        cuts = np.searchsorted(np.cumsum(size), np.arange(PAIRS, size.sum() + PAIRS, PAIRS), side="left") + 1
+        start = 0
+        for stop in [*np.unique(np.minimum(cuts, len(qx))).tolist(), len(qx)]:
+            if stop <= start:
+                continue
+            rows = by_cell[start:stop]
+            runs = (hi - lo)[start:stop].ravel()
+            ends = np.cumsum(runs)
+            pick = np.arange(ends[-1]) + np.repeat(lo[start:stop].ravel() - (ends - runs), runs)
+            n = size[start:stop]
+            dx, dy = x[pick] - np.repeat(qx[rows], n), y[pick] - np.repeat(qy[rows], n)
+            d2 = dx * dx + dy * dy
+            if within_radius:
+                near = d2 <= radius * radius
+                upto = np.append(0, np.cumsum(near))
+                last = np.cumsum(n)
+                n = upto[last] - upto[last - n]
+                pick, dx, dy, d2 = pick[near], dx[near], dy[near], d2[near]
+            value[rows] = how(Near(n, d2, dx, dy, z[pick], own[rows]))
+            start = stop
+        return asked.select(list(keys)).append_column("value", pa.array(value, from_pandas=True))
+
+    types = dict(queries.dtypes)
+    schema = ", ".join([*[f"`{k}` {types[k]}" for k in keys], "value double"])
+    return mine.groupBy("_bx", "_by").cogroup(spread.groupBy("_nx", "_ny")).applyInArrow(run, schema)
+
+
 def min_filter(queries, data, radius, keys, cell=None):
-    return around(queries, data, radius, [F.min("n_z").alias("value")], keys, cell)
+    return measure(queries, data, radius, keys, lambda p: p.reduce(np.minimum, p.z), cell)
 
 
 def max_filter(queries, data, radius, keys, cell=None):
-    return around(queries, data, radius, [F.max("n_z").alias("value")], keys, cell)
+    return measure(queries, data, radius, keys, lambda p: p.reduce(np.maximum, p.z), cell)
 
 
 def mean_filter(queries, data, radius, keys, cell=None):
-    return around(queries, data, radius, [F.avg("n_z").alias("value")], keys, cell)
+    return measure(queries, data, radius, keys, lambda p: p.mean(p.z), cell)
 
 
 def median_filter(queries, data, radius, keys, cell=None):
     """The mean of the middle two for an even number."""
-    return around(queries, data, radius, [F.percentile("n_z", F.lit(0.5)).alias("value")], keys, cell)
+    return measure(queries, data, radius, keys, lambda p: p.median(), cell)
 
 
 def var_filter(queries, data, radius, keys, cell=None):
     """Population variance; null for fewer than two neighbours."""
-    return around(queries, data, radius, [F.when(F.count("n_z") > 1, F.var_pop("n_z")).alias("value")], keys, cell)
+    return measure(queries, data, radius, keys, lambda p: p.variance(), cell)
 
 
 def idw_filter(queries, data, radius, keys, cell=None):
     """Mean weighted by the inverse squared distance, which counts as 1e-8 at least."""
-    w = 1 / F.greatest(F.col("d2"), F.lit(1e-8))
-    return around(queries, data, radius, [(F.sum(F.col("n_z") * w) / F.sum(w)).alias("value")], keys, cell)
+    return measure(queries, data, radius, keys, lambda p: p.idw(), cell)
 
 
 def density_filter(queries, data, radius, keys, cell=None):
     """Points per area of the circle; 0 where there are none."""
-    return around(queries, data, radius, [(F.count("d2") / F.lit(math.pi * radius * radius)).alias("value")], keys, cell)
+    return measure(queries, data, radius, keys, lambda p: p.n / (math.pi * radius * radius), cell)
 
 
 def distance_filter(queries, data, cell, keys, max_dist: float | None = None):
     """Distance to the nearest point of the 3 x 3 cells, whatever the radius; with max_dist only within it."""
-    least = F.sqrt(F.min("d2"))
-    value = least if max_dist is None else F.when(least <= max_dist, least)
-    return around(queries, data, cell, [value.alias("value")], keys, cell, within_radius=False)
+
+    def nearest(p: Near) -> np.ndarray:
+        d = np.sqrt(p.reduce(np.minimum, p.d2))
+        return d if max_dist is None else np.where(d <= max_dist, d, np.nan)
+
+    return measure(queries, data, cell, keys, nearest, cell, within_radius=False)
 
 
 def spike_filter(queries: DataFrame, data: DataFrame, radius: float, tan2: float, z_limit: float, keys: Sequence[str], cell: float | None = None) -> DataFrame:
@@ -86,14 +213,9 @@ def spike_filter(queries: DataFrame, data: DataFrame, radius: float, tan2: float
     the others must lie within a fifth of the radius. All quadrants need a steep one, four neighbours (the point itself
     among them) are needed, and dz must not take both signs.
     """
-    dz = F.col("n_z") - F.col("z")
-    dx, dy = F.col("n_x") - F.col("x"), F.col("n_y") - F.col("y")
-    steep = (F.abs(dz) > z_limit) & (dz * dz > tan2 * F.col("d2"))
-    quadrant = [F.count_if(steep & a & b) > 0 for a in (dx >= 0, dx < 0) for b in (dy >= 0, dy < 0)]
-    close = F.coalesce(F.bool_and(steep | (F.col("d2") <= (0.2 * radius) ** 2)), F.lit(False))
-    one_sign = ~((F.count_if(dz > 1e-6) > 0) & (F.count_if(dz < -1e-6) > 0))
-    spike = quadrant[0] & quadrant[1] & quadrant[2] & quadrant[3] & close & one_sign & (F.count("d2") >= 4)
-    return around(queries, data, radius, [F.when(spike, F.avg(dz)).otherwise(0.0).alias("value")], keys, cell)
+    if "z" not in keys:
+        raise ValueError("z must be among the keys")
+    return measure(queries, data, radius, keys, lambda p: p.spike(radius, tan2, z_limit), cell)
 
 
 def spatial_sort(points: DataFrame, cell: float) -> DataFrame:
