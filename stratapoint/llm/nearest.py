@@ -220,6 +220,8 @@ def _one_length(rows: DataFrame, dim: int, every: int, k: int, limit: float) ->
             yield pa.RecordBatch.from_arrays([*(batch.column(j).take(take) for j in (0, 1, 3, 4)), pa.array(leaf, pa.int32()), pa.array(block, pa.int32())], ["query_id", "q", "part", "bound", "leaf", "block"])
 
     def meet(mine: pa.Table, asks: pa.Table) -> pa.Table:
+        if not mine.num_rows or not asks.num_rows:  # a side without rows comes without columns
+            return HITS.empty_table()
         bound = asks["bound"].to_numpy()
         q, ids, score = search(mine["vec_id"].to_numpy(), _matrix(mine["v"]), asks["query_id"].to_numpy(), _matrix(asks["q"]), np.where(np.isnan(bound), np.inf, bound), k, limit)
         return pa.Table.from_arrays([pa.array(asks["query_id"].to_numpy()[q], pa.int64()), pa.array(ids, pa.int64()), pa.array(score, pa.float64())], schema=HITS)

@@ -105,6 +105,8 @@ def index_prefix(size: int, percent: int) -> int:
 
 def _class_rows(table: pa.Table, told: pa.Table) -> tuple[pa.Table, list[str]]:
     """One row, that of the smallest id, for each class of equal texts that lies in this bucket; and the digests."""
+    if not table.num_rows or not told.num_rows:  # a side without rows comes without columns
+        return SET.empty_table(), []
     ours = {d for r, d in zip(told["range"].to_pylist(), told["levels"].to_pylist(), strict=True) if r == REPRESENTS}
     best: dict[bytes, tuple[int, int]] = {}
     for k, (doc_id, text) in enumerate(zip(table["doc_id"].to_pylist(), table["text"].to_pylist(), strict=True)):
