@@ -21,17 +21,20 @@ def strip_surfaces(points: DataFrame, classes: Sequence[int], angle: float, tol_
     return surface.where(tin.valid(angle, tol_xy, tol_z))
 
 
-def strip_differences(near: DataFrame, surfaces: DataFrame) -> DataFrame:
-    """Points near features (feat_id, pid, x, y, z) against the surfaces of the other strips: id1 (surface), id2, dz."""
-    strips = surfaces.select(F.col("pid").alias("other")).distinct()
+def strip_differences(near: DataFrame, surfaces: DataFrame, strips: DataFrame) -> DataFrame:
+    """Points near features (feat_id, pid, x, y, z) against the surfaces of the other strips: id1 (surface), id2, dz.
+
+    strips: the distinct pid, one row each, from a scan of the points; asking the surfaces would build them twice.
+    """
+    strips = strips.select(F.col("pid").alias("other"))
     asked = near.select("feat_id", F.col("pid").alias("id2"), "x", "y", "z").join(F.broadcast(strips), F.col("other") != F.col("id2"))
     got = tin.interpolate(asked.withColumnRenamed("other", "pid"), surfaces, ["feat_id", "id2", "x", "y", "z"], "h", on=["pid"])
     return got.select("feat_id", F.col("pid").alias("id1"), "id2", (F.col("h") - F.col("z")).alias("dz"))
 
 
-def precision(near: DataFrame, surfaces: DataFrame, least: int = 2) -> DataFrame:
+def precision(near: DataFrame, surfaces: DataFrame, strips: DataFrame, least: int = 2) -> DataFrame:
     """Per feature and pair of strips: trimmed statistics both ways, and the combined precision."""
-    stats = aggregates.dz_statistics(strip_differences(near, surfaces), ["feat_id", "id1", "id2"]).where(F.col("n") >= least)
+    stats = aggregates.dz_statistics(strip_differences(near, surfaces, strips), ["feat_id", "id1", "id2"]).where(F.col("n") >= least)
     lo, hi = F.least("id1", "id2"), F.greatest("id1", "id2")
     way = F.when(F.col("id1") < F.col("id2"), "12").otherwise("21")
     both = stats.select("feat_id", lo.alias("id1"), hi.alias("id2"), way.alias("way"), "mean", "sd", "rms", "n")
@@ -42,9 +45,8 @@ def precision(near: DataFrame, surfaces: DataFrame, least: int = 2) -> DataFrame
     return wide.withColumn("combined_precision", combined)
 
 
-def accuracy(vertices: DataFrame, surfaces: DataFrame) -> DataFrame:
+def accuracy(vertices: DataFrame, surfaces: DataFrame, strips: DataFrame) -> DataFrame:
     """Strips' surfaces against control features: mean and deviation of height less the feature's, per strip and feature."""
-    strips = surfaces.select("pid").distinct()
     asked = vertices.select("feat_id", "seq", "x", "y", "z").crossJoin(F.broadcast(strips))  # a few strips
     got = tin.interpolate(asked, surfaces, ["feat_id", "seq", "x", "y", "z"], "h", on=["pid"])
     dz = F.col("h") - F.col("z")

@@ -9,6 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.delaunay import triangulate as delaunay
 
@@ -16,7 +18,7 @@ CORNERS = [f"{a}{k}" for k in range(3) for a in "xyz"]
 EDGE = 1e-7
 
 
-def triangulate(points: DataFrame, keys: Sequence[str] = (), block: float = 50.0, halo: float = 15.0) -> DataFrame:
+def triangulate(points: DataFrame, keys: Sequence[str] = (), block: float = 80.0, halo: float = 12.0) -> DataFrame:
     """keys, tri (an id), x0, y0, z0, ... of the Delaunay triangles of each group of points.
 
     Space is cut into blocks, and each block's points are triangulated with those of a halo around it; a block keeps the
@@ -68,36 +70,84 @@ def centers(tin: DataFrame) -> DataFrame:
     return tin.withColumns({f"c{a}": (_c(f"{a}0") + _c(f"{a}1") + _c(f"{a}2")) / 3 for a in "xy"})
 
 
-def barycentric(x: Column, y: Column) -> tuple[Column, Column, Column]:
-    det = (_c("x1") - _c("x0")) * (_c("y2") - _c("y0")) - (_c("x2") - _c("x0")) * (_c("y1") - _c("y0"))
-    det = F.when(det != 0, det)
-    b1 = ((x - _c("x0")) * (_c("y2") - _c("y0")) - (_c("x2") - _c("x0")) * (y - _c("y0"))) / det
-    b2 = ((_c("x1") - _c("x0")) * (y - _c("y0")) - (x - _c("x0")) * (_c("y1") - _c("y0"))) / det
-    return 1 - b1 - b2, b1, b2
+def locate(queries: DataFrame, tin: DataFrame, qkeys: Sequence[str], on: Sequence[str] = (), block: float = 50.0) -> DataFrame:
+    """qkeys, on, and the columns of the triangle that holds each query, with b0, b1, b2; of several on an edge, the first by id.
 
-
-def locate(queries: DataFrame, tin: DataFrame, qkeys: Sequence[str], cell: float = 5.0, on: Sequence[str] = ()) -> DataFrame:
-    """queries beside the triangle that holds each (the first by id on an edge), with its columns and b0, b1, b2.
-
-    Triangles go to the cells that their box touches; a query meets those of its own cell. on: columns that must be
-    equal, such as the strip whose surface is meant.
+    Triangles go to the blocks that their box touches, queries to their own. A block's task lays a grid over its triangles, of
+    about their own size, and tests each query against those of its cell. on: columns that must be equal, such as the strip
+    whose surface is meant.
     """
     box = lambda a, f: f(*[_c(f"{a}{k}") for k in range(3)])
-    span = lambda a: F.sequence(F.floor(box(a, F.least) / cell).cast("int"), F.floor(box(a, F.greatest) / cell).cast("int"))
-    spread = tin.withColumn("gx", F.explode(span("x"))).withColumn("gy", F.explode(span("y")))
-    placed = queries.withColumns({"gx": F.floor(F.col("x") / cell).cast("int"), "gy": F.floor(F.col("y") / cell).cast("int")})
-    both = placed.join(spread, ["gx", "gy", *on])
-    b = barycentric(F.col("x"), F.col("y"))
-    inside = both.withColumns({f"b{k}": b[k] for k in range(3)}).where(" and ".join(f"b{k} > {-EDGE}" for k in range(3)))
-    rest = [c for c in inside.columns if c not in {*qkeys, *on, "gx", "gy"}]
-    best = inside.groupBy(*dict.fromkeys([*qkeys, *on])).agg(F.min_by(F.struct(*rest), "tri").alias("_t"))
-    return best.select(*dict.fromkeys([*qkeys, *on]), "_t.*")
-
-
-def interpolate(queries: DataFrame, tin: DataFrame, qkeys: Sequence[str], value: str = "h", on: Sequence[str] = (), cut_off: float | None = None, cell: float = 5.0) -> DataFrame:
+    span = lambda a: F.sequence(F.floor(box(a, F.least) / block).cast("int"), F.floor(box(a, F.greatest) / block).cast("int"))
+    rest = [c for c in tin.columns if c not in on]
+    # other names than the queries': both sides may come from one table
+    spread = tin.withColumn("_nx", F.explode(span("x"))).withColumn("_ny", F.explode(span("y"))).select(*[F.col(c).alias(f"t_{c}") for c in [*rest, *on]], "_nx", "_ny")
+    names = list(dict.fromkeys([*qkeys, *on]))
+    placed = queries.select(*dict.fromkeys([*names, "x", "y"])).withColumns({"_bx": F.floor(F.col("x") / block).cast("int"), "_by": F.floor(F.col("y") / block).cast("int")})
+    struct = T.StructType([*[queries.schema[n] for n in names], *[tin.schema[c] for c in rest if c not in names], *[T.StructField(f"b{k}", T.DoubleType()) for k in range(3)]])
+    out_schema = to_arrow_schema(struct)
+    extra = [c for c in rest if c not in names]
+
+    def run(asked: pa.Table, given: pa.Table) -> pa.Table:
+        if not asked.num_rows or not given.num_rows:  # a side without rows comes without columns
+            return out_schema.empty_table()
+        given = given.sort_by("t_tri")
+        tri = np.stack([np.stack([given[f"t_{a}{k}"].to_numpy() for a in "xy"], axis=1) for k in range(3)])
+        q, t = _candidates(np.stack([asked[a].to_numpy() for a in "xy"], axis=1), tri)
+        b = _weights(np.stack([asked[a].to_numpy() for a in "xy"], axis=1)[q], tri[:, t])
+        hit = (b > -EDGE).all(axis=0)
+        q, t, b = q[hit], t[hit], b[:, hit]
+        order = np.lexsort((t, q))
+        q, t, b = q[order], t[order], b[:, order]
+        first = np.r_[True, q[1:] != q[:-1]] if len(q) else np.zeros(0, bool)
+        q, t, b = pa.array(q[first]), pa.array(t[first]), b[:, first]
+        columns = [asked[n].take(q) for n in names] + [given[f"t_{c}"].take(t) for c in extra] + [pa.array(w) for w in b]
+        return pa.Table.from_arrays(columns, names=out_schema.names)
+
+    left = placed.groupBy("_bx", "_by", *on)
+    right = spread.groupBy("_nx", "_ny", *[f"t_{c}" for c in on])
+    return left.cogroup(right).applyInArrow(run, struct)
+
+
+def _candidates(xy: np.ndarray, tri: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a query and a triangle whose box lies in the query's cell of a grid."""
+    low, high = tri.min(axis=0), tri.max(axis=0)
+    cell = float(np.clip(np.median(high - low) * 1.5, 0.1, 10.0))
+    base = xy.min(axis=0)
+    last = np.floor((xy.max(axis=0) - base) / cell).astype(np.int64)
+    lo, hi = np.floor((low - base) / cell).astype(np.int64), np.floor((high - base) / cell).astype(np.int64)
+    near = ((hi >= 0) & (lo <= last)).all(axis=1)
+    which = np.flatnonzero(near)
+    lo, hi = np.clip(lo[near], 0, last), np.clip(hi[near], 0, last)
+    wide = hi - lo + 1
+    n = wide.prod(axis=1)
+    k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    w = np.repeat(wide[:, 0], n)
+    cells = (np.repeat(lo[:, 1], n) + k // w) * (last[0] + 1) + np.repeat(lo[:, 0], n) + k % w
+    order = np.argsort(cells, kind="stable")
+    cells, owner = cells[order], np.repeat(which, n)[order]
+    at = np.floor((xy - base) / cell).astype(np.int64)
+    code = at[:, 1] * (last[0] + 1) + at[:, 0]
+    a, b = np.searchsorted(cells, code), np.searchsorted(cells, code, side="right")
+    pick = np.arange((b - a).sum()) - np.repeat(np.cumsum(b - a) - (b - a), b - a) + np.repeat(a, b - a)
+    return np.repeat(np.arange(len(xy)), b - a), owner[pick]
+
+
+def _weights(xy: np.ndarray, tri: np.ndarray) -> np.ndarray:
+    """Barycentric weights of points in triangles; -1 where a triangle has no area."""
+    (ax, ay), (bx, by), (cx, cy) = (tri[k].T for k in range(3))
+    x, y = xy.T
+    det = (bx - ax) * (cy - ay) - (cx - ax) * (by - ay)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        b1 = ((x - ax) * (cy - ay) - (cx - ax) * (y - ay)) / det
+        b2 = ((bx - ax) * (y - ay) - (x - ax) * (by - ay)) / det
+    return np.where(det == 0, -1.0, np.stack([1 - b1 - b2, b1, b2]))
+
+
+def interpolate(queries: DataFrame, tin: DataFrame, qkeys: Sequence[str], value: str = "h", on: Sequence[str] = (), cut_off: float | None = None) -> DataFrame:
     """Queries that a triangle holds with its height there. With a cut_off, corners that lie higher than that above the
     lowest count only very near to them."""
-    found = locate(queries, tin, qkeys, cell, on)
+    found = locate(queries, tin, qkeys, on)
     if cut_off is None:
         height = sum((_c(f"b{k}") * _c(f"z{k}") for k in range(3)), F.lit(0.0))
     else:

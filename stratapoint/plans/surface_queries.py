@@ -119,10 +119,14 @@ def road_delta_check(s, d):
     return near.groupBy("feat_id").agg(F.max("z_range").alias("z_step_max"), F.min("z_range").alias("z_step_min"), F.count(F.lit(1)).alias("n"))
 
 
+def _strips(s, d):
+    return D.points(s, d).select("pid").distinct()
+
+
 @query("z_accuracy")
 def z_accuracy(s, d):
     surfaces = elevation.strip_surfaces(D.points(s, d), ALL, 89.0, 10.0, 40.0)
-    return elevation.accuracy(D.lines(s), surfaces)
+    return elevation.accuracy(D.lines(s), surfaces, _strips(s, d))
 
 
 @query("z_accuracy_gcp")
@@ -134,16 +138,21 @@ def z_accuracy_gcp(s, d):
     return got.select("id", "z", (height - F.col("z")).alias("dz"), F.degrees(F.atan(F.sqrt("tan2"))).alias("t_angle"), F.col("xy_size").alias("t_size"))
 
 
+REACH = 2.0 + 2 * 12.0  # how far from a feature points can shape the surface over it: its buffer, and a circle as wide as the halo allows
+
+
 def _roads(s, d):
     p = D.points(s, d)
-    surfaces = elevation.strip_surfaces(p, ALL, 89.0, 10.0, 40.0)
-    return elevation.precision(elevation.near_lines(p, D.lines(s), ALL, 2.0), surfaces)
+    around = geometry.points_near_lines(p, D.lines(s), REACH).drop("feat_id").distinct()
+    surfaces = elevation.strip_surfaces(around, ALL, 89.0, 10.0, 40.0)
+    return elevation.precision(elevation.near_lines(p, D.lines(s), ALL, 2.0), surfaces, _strips(s, d))
 
 
 def _houses(s, d):
-    p = D.points(s, d)
-    surfaces = elevation.strip_surfaces(p, ALL, 89.0, 10.0, 40.0)
-    return elevation.precision(elevation.near_polygons(p, D.polygons(s).where("ptype = 'building'"), ALL), surfaces)
+    p, houses = D.points(s, d), D.polygons(s).where("ptype = 'building'")
+    inside = elevation.near_polygons(p, houses, ALL)
+    around = inside.unionByName(geometry.points_near_lines(p, houses.select("feat_id", "ring", "seq", "x", "y"), REACH)).drop("feat_id").distinct()
+    return elevation.precision(inside, elevation.strip_surfaces(around, ALL, 89.0, 10.0, 40.0), _strips(s, d))
 
 
 @query("z_precision_roads")
