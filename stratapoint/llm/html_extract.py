@@ -56,7 +56,8 @@ def features(pages: list[list[Block]]) -> list[np.ndarray]:
         sign = np.where(w.hashes >> np.uint64(63), 1.0, -1.0)
         slot = (w.hashes % np.uint64(WORD)).astype(np.int64)
         n = np.maximum(1, np.diff(w.first))
-        x[:, PATH : PATH + WORD] = np.bincount(owner * WORD + slot, sign, len(flat) * WORD).reshape(-1, WORD) / np.sqrt(n)[:, None]
+        bag = np.bincount(owner * WORD + slot, sign, len(flat) * WORD).reshape(-1, WORD)
+        x[:, PATH : PATH + WORD] = bag / np.maximum(1, np.linalg.norm(bag, axis=1, keepdims=True))  # a repeated word counts no more
         length = np.array([len(b.text) for b in flat])
         at = PATH + WORD
         x[:, at] = np.log1p(length) / 5

@@ -27,6 +27,8 @@ Made = tuple[str, list[bool]]  # html, and whether each leaf block is main text
 
 def _words(rng: np.random.Generator, n: int) -> str:
     words = ["".join(rng.choice(_SYLLABLES, rng.integers(1, 4))) for _ in range(n)]
+    if rng.random() < 0.05:
+        words = words[:1] * n  # junk is text too
     for k in range(7, n, int(rng.integers(7, 16))):
         words[k] += str(rng.choice([".", ",", "!", "%%%", " &"]))
     return html.escape(" ".join(words).capitalize() + ("." if n > 6 else ""))
