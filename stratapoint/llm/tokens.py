@@ -2,7 +2,8 @@
 
 The vocabulary's pre-tokens are found with array operations over code points, and each distinct pre-token goes through
 the tokenizer once per worker and cache generation. Texts with characters that the array path does not class exactly
-(apostrophes, which may open a contraction, and rare scripts) go through the tokenizer as they are.
+(apostrophes, which may open a contraction, and rare scripts) and texts that hold an added token such as <|endoftext|>
+go through the tokenizer as they are.
 """
 
 from __future__ import annotations
@@ -52,7 +53,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._clear()
 
     def _clear(self) -> None:
@@ -79,7 +80,7 @@ class Encoder:
             cps = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
             if not len(cps):
                 out[k] = np.zeros(0, np.uint32)
-            elif len(cps) > CHUNK or (_classes()[np.minimum(cps, EXACT_BELOW)] == 4).any():
+            elif len(cps) > CHUNK or any(t in text for t in self.added) or (_classes()[np.minimum(cps, EXACT_BELOW)] == 4).any():
                 out[k] = self.plain(text)
             else:
                 if size + len(cps) > CHUNK:

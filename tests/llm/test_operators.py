@@ -146,6 +146,22 @@ def test_pieces_and_places(spark):
     assert packing.pack(docs_of(spark, []), path).count() == 0
 
 
+def test_added_tokens_are_those_of_the_tokenizer_as_loaded(spark):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path()
+    tok = Tokenizer.from_file(path)
+    texts = ["end <|endoftext|> start", "<|endoftext|>", "a<|endoftext|><|endoftext|>b", "<|endoftext |> <|endoftext|", "it's <|endoftext|>\n\n x", "plain end start", "many words here <|endoftext|> " * 400]
+    got = packing.pack(docs_of(spark, [(k, t, "en", "a") for k, t in enumerate(texts)]), path, with_ids=True).toPandas()
+    for k, text in enumerate(texts):
+        ids = [*tok.encode(text, add_special_tokens=False).ids, 2]
+        mine = got[got.doc_id == k].sort_values("piece")
+        assert [i for part in mine.ids for i in part] == ids
+        assert list(mine.start) == [0, *np.cumsum(mine.length)[:-1]]
+        assert [zlib.crc32(np.array(p, "<u4").tobytes()) for p in mine.ids] == list(mine.ids_crc32)
+    assert list(got[got.doc_id == 0].ids.iloc[0]) == [437, 220, 50256, 923, 2]
+
+
 @pytest.mark.parametrize("n", [1, 40, 3000, 200_000])
 def test_plan_is_whole_and_tight(n):
     rng = np.random.default_rng(n)
