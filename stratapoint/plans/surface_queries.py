@@ -165,15 +165,32 @@ def z_precision_buildings(s, d):
     return _houses(s, d)
 
 
+def sea(s: SparkSession) -> DataFrame:
+    """A sea along the east of the extent, a little above the lowest derived heights (SEA_Z)."""
+    at = [(633070.0, 6173905.0), (633099.0, 6173905.0), (633099.0, 6173975.0), (633080.0, 6173970.0), (633070.0, 6173905.0)]
+    return s.createDataFrame([(1, 0, q, x, y) for q, (x, y) in enumerate(at)], "feat_id int, ring int, seq int, x double, y double")
+
+
+SEA_Z = 12.0
+
+
+def _elevation(s: SparkSession, d: str, first_returns: bool) -> DataFrame:
+    """Heights and features are in one height system, so nothing is warped."""
+    layer = lambda ptype: D.polygons(s).where(F.col("ptype") == ptype)
+    return elevation.elevation_model(
+        D.points(s, d), 2.0, D.X0, D.Y1, 100, 100, [2, 9, 17], [2, 3, 4, 5, 6, 9, 17], first_returns,
+        houses=layer("building"), lakes=layer("lake"), sea=sea(s), flatten=4, smooth=4, sea_z=SEA_Z,
+    )
+
+
 @query("dem_gen_dtm")
 def dem_gen_dtm(s, d):
-    lakes = D.polygons(s).where("ptype = 'lake'")
-    return elevation.elevation_model(D.points(s, d), 2.0, D.X0, D.Y1, 100, 100, classes=[2, 9, 17], water=lakes)
+    return _elevation(s, d, False)
 
 
 @query("dem_gen_dsm")
 def dem_gen_dsm(s, d):
-    return elevation.elevation_model(D.points(s, d), 2.0, D.X0, D.Y1, 100, 100)
+    return _elevation(s, d, True)
 
 
 # Buildings. The derived points fill no roofs, so gabled roofs are laid over small houses: z follows from the place.

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stratapoint.functions import fitting
 from stratapoint.functions.delaunay import triangulate
-from stratapoint.operators import tin
+from stratapoint.operators import elevation, tin
 
 
 def hull_area(points):
@@ -102,3 +102,35 @@ def test_utm_of_known_places(spark):
     assert got[0].e == pytest.approx(500000) and got[0].n == pytest.approx(0, abs=1e-6)
     assert got[1].e == pytest.approx(500000) and 6094000 < got[1].n < 6096000
     assert got[2].e == pytest.approx(563948, abs=50)
+
+
+def square_of(spark, x0, y0, x1, y1, z):
+    ring = [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
+    return spark.createDataFrame([(1, 0, q, float(x), float(y), float(z)) for q, (x, y) in enumerate(ring)], "feat_id int, ring int, seq int, x double, y double, z double")
+
+
+def test_elevation_model_takes_all_steps_of_the_kernel(spark):
+    """Land at 10 m with a lake of no points (a wall of 13 m on its west bank), a sea, and a house over low points."""
+    in_lake = lambda x, y: 14 < x < 26 and 14 < y < 26
+    in_sea = lambda x, y: x > 33 and y < 8
+    rows = []
+    for x in range(41):
+        for y in range(41):
+            z = 13.0 if x == 14 and 14 <= y <= 26 else 0.3 if in_sea(x, y) else 10.0
+            if not in_lake(x, y):
+                rows.append((x + 0.0, y + 0.0, z, 2, 1))
+    house = [(x + 0.5, y + 0.5, 15.0, 6, 1) for x in range(3, 9) for y in range(30, 36)]
+    low = [(x + 0.25, y + 0.25, 5.0, 2, 2) for x in range(4, 8) for y in range(31, 35)]
+    high = [(30.5, 30.5, 99.0, 1, 1)]  # of a class that neither model takes
+    points = spark.createDataFrame(rows + house + low + high, "x double, y double, z double, c int, rn int")
+    layers = {"lakes": square_of(spark, 17.2, 17.2, 22.8, 22.8, 8), "sea": square_of(spark, 34.2, 0.2, 39.8, 6.8, 0), "houses": square_of(spark, 2.1, 29.1, 9.9, 36.9, 0)}
+    run = lambda first, **more: {(r.row, r.col): r.value for r in elevation.elevation_model(points, 1.0, 0.0, 40.0, 40, 40, [2, 9, 17], [2, 3, 4, 5, 6, 9, 17], first, **layers, **more).collect()}
+    at = lambda cells, x, y: cells[int(40 - y), int(x)]
+    dtm, dsm = run(False, sea_z=0.0), run(True, sea_z=0.0)
+    for cells in (dtm, dsm):
+        assert at(cells, 20.5, 20.5) == 8.0 and at(cells, 18.5, 21.5) == 8.0  # lake
+        assert max(at(cells, x + 0.5, y + 0.5) for x in (15, 16) for y in range(18, 23)) <= 10.0 + 1e-9  # no steep bank
+        assert at(cells, 36.5, 3.5) == 0.0 and at(cells, 31.5, 3.5) == 10.0  # sea
+        assert max(cells.values()) < 16
+    assert at(dtm, 5.5, 32.5) > 9.9 and at(dsm, 5.5, 32.5) > 14
+    assert at(run(False), 36.5, 3.5) == pytest.approx(0.3)
