@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+from ..model import tile_name
 from ..operators import buildings, elevation, geometry, raster, tin
 from ..operators import points as P
 from . import derived as D
@@ -334,19 +335,26 @@ def v_relevant_holes(s, d):
     return report.where("n_old > 10 and abs(dz) < 0.2 and (abs(sd) < abs(dz) or abs(sd) < 0.05) and sd < 0.1").orderBy("n_old").select("row", "col", "n_old", "dz", "sd")
 
 
-def _tile_view(report: DataFrame, s, d) -> DataFrame:
+def feature_tiles(features: DataFrame) -> DataFrame:
+    """feat_id and km_name, the tile of the feature's first vertex."""
+    first = features.groupBy("feat_id").agg(F.min_by(F.struct("x", "y"), F.struct("ring", "seq")).alias("v"))
+    return first.select("feat_id", tile_name(F.col("v.x"), F.col("v.y")).alias("km_name"))
+
+
+def _tile_view(report: DataFrame, features: DataFrame) -> DataFrame:
     """A precision report, put on the tile of its feature's first vertex, averaged by tile."""
-    return report.groupBy(F.lit("1km_6173_632").alias("tilename")).agg(F.avg(F.abs("mean12")).alias("abs_avg12"), F.avg(F.abs("mean21")).alias("abs_avg21"), F.avg("sigma12").alias("sigma12"), F.avg("sigma21").alias("sigma21"))
+    placed = report.join(F.broadcast(feature_tiles(features)), "feat_id").withColumnRenamed("km_name", "tilename")
+    return placed.groupBy("tilename").agg(F.avg(F.abs("mean12")).alias("abs_avg12"), F.avg(F.abs("mean21")).alias("abs_avg21"), F.avg("sigma12").alias("sigma12"), F.avg("sigma21").alias("sigma21"))
 
 
 @query("v_tile_z_precision_roads")
 def v_tile_z_precision_roads(s, d):
-    return _tile_view(_roads(s, d), s, d)
+    return _tile_view(_roads(s, d), D.lines(s))
 
 
 @query("v_tile_z_precision_buildings")
 def v_tile_z_precision_buildings(s, d):
-    return _tile_view(_houses(s, d), s, d)
+    return _tile_view(_houses(s, d), D.polygons(s))
 
 
 

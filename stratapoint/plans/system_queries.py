@@ -12,7 +12,7 @@ from . import derived as D
 from . import reports
 from .derived import sql
 from .point_queries import count_classes
-from .surface_queries import _roads
+from .surface_queries import _roads, feature_tiles
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -54,7 +54,7 @@ def report_classes_in_tiles(s, d):
 
 @query("report_z_precision_roads")
 def report_z_precision_roads(s, d):
-    return reports.conform(_roads(s, d).withColumn("km_name", F.lit("1km_6173_632")), "f_z_precision_roads", 7).drop("t_stamp")
+    return reports.conform(_roads(s, d).join(F.broadcast(feature_tiles(D.lines(s))), "feat_id"), "f_z_precision_roads", 7).drop("t_stamp")
 
 
 @query("clip_lines_to_tile", "WITH " + D.SQL["lines"] + f""", seg AS (SELECT feat_id, seq, x AS x1, y AS y1, lead(x) OVER w AS x2, lead(y) OVER w AS y2 FROM lines WINDOW w AS (PARTITION BY feat_id ORDER BY seq))

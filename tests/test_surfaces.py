@@ -134,3 +134,13 @@ def test_elevation_model_takes_all_steps_of_the_kernel(spark):
         assert max(cells.values()) < 16
     assert at(dtm, 5.5, 32.5) > 9.9 and at(dsm, 5.5, 32.5) > 14
     assert at(run(False), 36.5, 3.5) == pytest.approx(0.3)
+
+
+def test_features_go_to_the_tile_of_their_first_vertex(spark):
+    from stratapoint.plans import derived, surface_queries
+
+    tiles = {r.feat_id: r.km_name for r in surface_queries.feature_tiles(derived.lines(spark).union(derived.polygons(spark).where("feat_id = 3").select("feat_id", "ring", "seq", "x", "y", "z"))).collect()}
+    assert tiles == {1: "1km_6173_632", 2: "1km_6174_632", 3: "1km_6174_633"}
+    report = spark.createDataFrame([(1, 1.0, -1.0, 2.0, 2.0), (2, -3.0, 3.0, 4.0, 4.0), (2, 5.0, 5.0, 6.0, 6.0)], "feat_id int, mean12 double, mean21 double, sigma12 double, sigma21 double")
+    got = {r.tilename: (r.abs_avg12, r.abs_avg21, r.sigma12) for r in surface_queries._tile_view(report, derived.lines(spark)).collect()}
+    assert got == {"1km_6173_632": (1.0, 1.0, 2.0), "1km_6174_632": (4.0, 4.0, 5.0)}
