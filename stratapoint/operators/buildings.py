@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fitting
+from ..functions.delaunay import triangulate as delaunay
 
 
 def per_feature(points: DataFrame, rings: DataFrame, fit: Callable[[np.ndarray, list[np.ndarray]], list[dict]], schema: pa.Schema, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -66,15 +67,64 @@ def ridge(xyz: np.ndarray, rings: list[np.ndarray], least: int = 10) -> list[dic
 CORNERS = pa.schema([("vertex", pa.int32()), *[(n, pa.float64()) for n in ("x", "y", "u", "v")]])
 
 
-def wall_corners(xyz: np.ndarray, rings: list[np.ndarray], distance: float = 1.2, least: int = 20) -> list[dict]:
-    """Corners (x, y) of an outline with those (u, v) of the lines fitted to the points near its sides."""
+def _triangles(xyz: np.ndarray) -> np.ndarray:
+    """Corners of the triangles; of points with equal x and y the lowest is used, as in tin.triangulate."""
+    p = xyz[np.lexsort((xyz[:, 2], xyz[:, 1], xyz[:, 0]))]
+    p = p[np.r_[True, (p[1:, :2] != p[:-1, :2]).any(axis=1)]] if len(p) else p
+    return p[delaunay(p[:, 0], p[:, 1])]
+
+
+def well_covered(xyz: np.ndarray, rings: list[np.ndarray], least: int, size: float = 1.5) -> bool:
+    """Whether the outline holds that many points, in triangles that are small on the whole and of even size."""
+    within = np.zeros(len(xyz), bool)
+    for a, b in ((a, b) for ring in rings for a, b in zip(ring, ring[1:], strict=False) if a[1] != b[1]):
+        within ^= ((a[1] > xyz[:, 1]) != (b[1] > xyz[:, 1])) & (xyz[:, 0] < (b[0] - a[0]) * (xyz[:, 1] - a[1]) / (b[1] - a[1]) + a[0])
+    if within.sum() < max(least, 3):
+        return False
+    sizes = np.ptp(_triangles(xyz[within])[:, :, :2], axis=1).max(axis=1)
+    return len(sizes) > 0 and sizes.mean() <= size and 0.5 * sizes.std() <= sizes.mean()
+
+
+def wall_points(xyz: np.ndarray, ring: np.ndarray, distance: float = 1.2, angle: float = 45.0, drop: float = 2.0) -> np.ndarray:
+    """x, y of the upper ends of walls: corners of triangles steeper than the angle whose heights span over `drop`, that lie over
+    `drop` above the lowest point and within the distance of the outline."""
+    tri = _triangles(xyz)
+    normal = np.cross(tri[:, 1] - tri[:, 0], tri[:, 2] - tri[:, 0])
+    steep = (normal[:, 0] ** 2 + normal[:, 1] ** 2 > math.tan(math.radians(angle)) ** 2 * normal[:, 2] ** 2) & (np.ptp(tri[:, :, 2], axis=1) > drop)
+    ends = np.unique(tri[steep].reshape(-1, 3), axis=0)
+    ends = ends[ends[:, 2] > xyz[:, 2].min() + drop]
+    near = np.zeros(len(ends), bool)
+    for a, b in zip(ring, ring[1:], strict=False):
+        e = b - a
+        t = np.clip((ends[:, :2] - a) @ e / max(e @ e, 1e-9), 0, 1)
+        near |= np.hypot(*(ends[:, :2] - a - t[:, None] * e).T) < distance
+    return ends[near, :2]
+
+
+def evenly_along(a: np.ndarray, b: np.ndarray, xy: np.ndarray, distance: float = 1.0, least: int = 10) -> np.ndarray | None:
+    """The points beside a side and nearer than the distance; none where they are few, or where over 3 of 10 parts of their
+    stretch have less than 5 % of them."""
+    length = np.linalg.norm(b - a)
+    e = (b - a) / max(length, 1e-9)
+    along = (xy - a) @ e
+    mine = (along >= 0) & (along <= length) & (np.linalg.norm(xy - a - along[:, None] * e, axis=1) < distance)
+    if mine.sum() * 2 < least:  # counted by coordinates, two for each point, as the kernel does
+        return None
+    parts = np.histogram(along[mine], 10)[0] / mine.sum()
+    return xy[mine] if (parts < 0.05).sum() <= 3 else None
+
+
+def wall_corners(xyz: np.ndarray, rings: list[np.ndarray], least: int = 500) -> list[dict]:
+    """Corners (x, y) of an outline with those (u, v) of the lines fitted to the wall points along its sides; xyz: the points in the
+    outline and 2 m around it. An outline with fewer than `least` points, or large or uneven triangles, has none."""
+    if not well_covered(xyz, rings, least):
+        return []
     ring = rings[0]
+    walls = wall_points(xyz, ring)
     sides = []
     for a, b in zip(ring, ring[1:], strict=False):
-        e = b - a
-        t = np.clip((xyz[:, :2] - a) @ e / max(e @ e, 1e-9), 0, 1)
-        near = xyz[np.hypot(*(xyz[:, :2] - a - t[:, None] * e).T) < distance]
-        sides.append(fitting.wall_line(a, b, near[:, :2])[0] if len(near) >= least else None)
+        beside = evenly_along(a, b, walls)
+        sides.append(None if beside is None else fitting.wall_line(a, b, beside)[0])
     out = []
     for k in range(len(sides)):
         one, two = sides[k - 1], sides[k]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -227,9 +229,12 @@ def roof_ridge_strip(s, d):
 
 
 def _walls(s, d):
-    """Points along the outlines, 0.25 m off in x and y."""
-    near = geometry.points_near_lines(D.points(s, d), _outlines(s).where("ring = 0"), 1.0)
-    return near.withColumns({"x": F.col("x") + 0.25, "y": F.col("y") + 0.25})
+    """Points in the outlines and 2 m around them. Flat roofs of 20 m are laid on ground of 10 m, 0.25 m off in x and y."""
+    key = ["feat_id", "k", "x", "y", "z", "c", "pid", "rn"]
+    inside = geometry.points_in_polygons(D.points(s, d), _outlines(s)).select(*key)
+    around = geometry.points_near_lines(D.points(s, d), _outlines(s).where("ring = 0"), 2.0).select(*key).join(inside, key, "left_anti")
+    both = inside.withColumn("base", F.lit(20.0)).unionByName(around.withColumn("base", F.lit(10.0)))
+    return both.withColumns({"x": F.col("x") + 0.25, "y": F.col("y") + 0.25, "z": F.col("base") + F.col("z") / 5000}).drop("base")
 
 
 @query("xy_accuracy_buildings")
@@ -241,12 +246,13 @@ def xy_accuracy_buildings(s, d):
 
 @query("xy_precision_buildings")
 def xy_precision_buildings(s, d):
-    """Corners that two strips agree on within 1 m, matched by their vertex; features with more than one such corner."""
-    corners = buildings.per_feature(_walls(s, d), _outlines(s), buildings.wall_corners, buildings.CORNERS, ("pid",)).where("status = 'ok'")
+    """Corners that two strips find within 1 m of the outline's, matched by their vertex; features with more than one such corner."""
+    found = buildings.per_feature(_walls(s, d), _outlines(s), partial(buildings.wall_corners, least=300), buildings.CORNERS, ("pid",))
+    corners = found.where("status = 'ok' and (u - x) * (u - x) + (v - y) * (v - y) < 1")
     a = corners.select("feat_id", "vertex", F.col("pid").alias("id1"), F.col("u").alias("ax"), F.col("v").alias("ay"))
     b = corners.select("feat_id", "vertex", F.col("pid").alias("id2"), F.col("u").alias("bx"), F.col("v").alias("by"))
     dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
-    pairs = a.join(b, ["feat_id", "vertex"]).where("id1 < id2").withColumns({"dx": dx, "dy": dy, "dist": F.sqrt(dx * dx + dy * dy)}).where("dist < 1")
+    pairs = a.join(b, ["feat_id", "vertex"]).where("id1 < id2").withColumns({"dx": dx, "dy": dy, "dist": F.sqrt(dx * dx + dy * dy)})
     return pairs.groupBy("feat_id", "id1", "id2").agg(F.avg("dx").alias("dx"), F.avg("dy").alias("dy"), F.avg("dist").alias("dist"), F.count(F.lit(1)).alias("n_points")).where("n_points > 1")
 
 

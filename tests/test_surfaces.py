@@ -144,3 +144,21 @@ def test_features_go_to_the_tile_of_their_first_vertex(spark):
     report = spark.createDataFrame([(1, 1.0, -1.0, 2.0, 2.0), (2, -3.0, 3.0, 4.0, 4.0), (2, 5.0, 5.0, 6.0, 6.0)], "feat_id int, mean12 double, mean21 double, sigma12 double, sigma21 double")
     got = {r.tilename: (r.abs_avg12, r.abs_avg21, r.sigma12) for r in surface_queries._tile_view(report, derived.lines(spark)).collect()}
     assert got == {"1km_6173_632": (1.0, 1.0, 2.0), "1km_6174_632": (4.0, 4.0, 5.0)}
+
+
+def test_wall_corners_come_from_the_upper_ends_of_walls():
+    from stratapoint.operators import buildings
+
+    rng = np.random.default_rng(5)
+    xy = rng.random((6000, 2)) * [24, 20] - 2
+    house = (xy > [0.2, 0.2]).all(axis=1) & (xy < [20.2, 16.2]).all(axis=1)
+    xyz = np.c_[xy, np.where(house, 9.0, 1.0)]
+    ring = np.array([(0.0, 0.0), (20.0, 0.0), (20.0, 16.0), (0.0, 16.0), (0.0, 0.0)])
+    got = buildings.wall_corners(xyz, [ring])
+    assert len(got) == 4
+    off = np.array([(r["u"] - r["x"], r["v"] - r["y"]) for r in got])
+    assert np.abs(off - np.where(ring[:4] == 0, 0.35, 0.05)).max() < 0.2  # just inside the walls
+    assert buildings.wall_corners(np.c_[xy, np.full(len(xy), 1.0)], [ring]) == []  # flat ground has no walls
+    half = xyz[~((xyz[:, 2] > 5) & (xyz[:, 0] > 4) & (xyz[:, 0] < 17) & (xyz[:, 1] < 3))]
+    assert {r["vertex"] for r in buildings.wall_corners(half, [ring])} <= {2, 3}  # points on both ends of the first side only
+    assert buildings.wall_corners(xyz[:300], [ring]) == []  # few points
