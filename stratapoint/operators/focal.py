@@ -1,9 +1,9 @@
 """Focal operators on points: aggregates over the neighbours within a radius.
 
-measure() has the built-in ones: blocks of cells with a rim of neighbours, whose pairs numpy goes through in order.
-around() takes any SQL aggregate: the data points are repeated to the 3 x 3 cells (of a size not under the radius) around
-theirs and joined with the query points of each cell, so that the aggregation needs no second shuffle. In both the number
-of pairs grows with the density, not with the size of the table.
+measure() has the built-in ones: blocks of cells with a rim of neighbours, where functions/disks.py answers without listing
+pairs unless a measure weighs them. around() takes any SQL aggregate: the data points are repeated to the 3 x 3 cells (of a
+size not under the radius) around theirs and joined with the query points of each cell, so that the aggregation needs no
+second shuffle. There the number of pairs grows with the density, not with the size of the table.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..functions import disks
+
 
 def around(queries: DataFrame, data: DataFrame, radius: float, aggregates: Sequence[Column], keys: Sequence[str], cell: float | None = None, within_radius: bool = True) -> DataFrame:
     """For each query row (told apart by keys, which include x and y): aggregates over the data points near it.
@@ -42,74 +44,39 @@ def around(queries: DataFrame, data: DataFrame, radius: float, aggregates: Seque
 
 
 BLOCK = 16  # cells along the side of a block
-PAIRS = 1 << 21  # pairs that a task looks at together
-
-Measure = Callable[["Near"], np.ndarray]
-
-
-class Near:
-    """Pairs of a run of queries with their neighbours: sums and extremes by query. NaN where there is none."""
 
-    def __init__(self, counts: np.ndarray, d2: np.ndarray, dx: np.ndarray, dy: np.ndarray, z: np.ndarray, own: np.ndarray):
-        self.n, self.d2, self.dx, self.dy, self.z, self.own = counts, d2, dx, dy, z, own
-        self.any = counts > 0
-        self.starts = (np.cumsum(counts) - counts)[self.any]
+Measure = Callable[[disks.Strips, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
-    def reduce(self, how: np.ufunc, values: np.ndarray, empty: float = np.nan) -> np.ndarray:
-        out = np.full(len(self.n), empty)
-        if len(self.starts):
-            out[self.any] = how.reduceat(values, self.starts)
-        return out
-
-    def sum(self, values: np.ndarray) -> np.ndarray:
-        return self.reduce(np.add, values.astype(float), 0.0)
 
-    def mean(self, values: np.ndarray) -> np.ndarray:
-        with np.errstate(invalid="ignore", divide="ignore"):
-            return self.sum(values) / self.n
-
-    def median(self) -> np.ndarray:
-        query = np.repeat(np.arange(len(self.n)), self.n)
-        z = self.z[np.lexsort((self.z, query))]
-        first, n = (np.cumsum(self.n) - self.n)[self.any], self.n[self.any]
-        out = np.full(len(self.n), np.nan)
-        out[self.any] = (z[first + (n - 1) // 2] + z[first + n // 2]) / 2
-        return out
+def _run_by_run(value: Callable[[disks.Disks], np.ndarray]) -> Measure:
+    """A measure of the height-free query places, taken once where several queries share a place."""
 
-    def idw(self) -> np.ndarray:
-        w = 1 / np.maximum(self.d2, 1e-8)
-        with np.errstate(invalid="ignore", divide="ignore"):
-            return self.sum(self.z * w) / self.sum(w)
+    def run(strips: disks.Strips, qx: np.ndarray, qy: np.ndarray, own: np.ndarray) -> np.ndarray:
+        def places(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            out = np.empty(len(x))
+            for at, near in strips.around(x, y):
+                out[at] = value(near)
+            return out
 
-    def variance(self) -> np.ndarray:
-        off = self.z - np.repeat(self.mean(self.z), self.n)
-        return np.where(self.n > 1, self.mean(off * off), np.nan)
+        return disks.by_place(qx, qy, places)
 
-    def spike(self, radius: float, tan2: float, z_limit: float) -> np.ndarray:
-        dz = self.z - np.repeat(self.own, self.n)
-        steep = (np.abs(dz) > z_limit) & (dz * dz > tan2 * self.d2)
-        right, up = self.dx >= 0, self.dy >= 0
-        ok = self.n >= 4
-        for quadrant in (right & up, right & ~up, ~right & up, ~right & ~up):
-            ok &= self.sum(steep & quadrant) > 0
-        ok &= self.sum(~steep & (self.d2 > (0.2 * radius) ** 2)) == 0
-        ok &= ~((self.sum(dz > 1e-6) > 0) & (self.sum(dz < -1e-6) > 0))
-        return np.where(ok, self.mean(dz), 0.0)
+    return run
 
 
 def measure(queries: DataFrame, data: DataFrame, radius: float, keys: Sequence[str], how: Measure, cell: float | None = None, within_radius: bool = True) -> DataFrame:
     """keys and the value of `how` for each query row, told apart by keys, which include x and y (and z where it is used).
 
-    Space is cut into blocks of BLOCK cells; a block's task gets its queries and the data points up to a cell beyond it,
-    sorted by cell, so that a query's candidates are three runs of rows. A block's size follows from the density alone.
+    Space is cut into blocks of BLOCK cells; a block's task gets its queries and the data points up to the radius beyond it
+    (without within_radius: up to two cells). A block's size follows from the density alone.
     """
     cell = cell or radius
     if radius > cell:
         raise ValueError("the radius exceeds the cells that are searched")
     side = cell * BLOCK
+    rim = radius * 1.001 if within_radius else 2 * cell
     at = lambda c, d=0.0: F.floor((F.col(c) + d) / side).cast("int")
     mine = queries.select(*keys).withColumns({"_bx": at("x"), "_by": at("y")})
-    span = lambda c: F.sequence(at(c, -2 * cell), at(c, 2 * cell))
+    span = lambda c: F.sequence(at(c, -rim), at(c, rim))
     # other names than the queries': both sides may come from one table
     spread = data.select(*[F.col(c).alias(f"n_{c}") for c in "xyz"]).withColumn("_nx", F.explode(span("n_x"))).withColumn("_ny", F.explode(span("n_y")))
 
@@ -122,42 +89,8 @@ def measure(queries: DataFrame, data: DataFrame, radius: float, keys: Sequence[s
             given = pa.table({f"n_{c}": pa.array([], pa.float64()) for c in "xyz"})
         qx, qy = asked["x"].to_numpy(), asked["y"].to_numpy()
         own = asked["z"].to_numpy() if "z" in keys else np.zeros(len(qx))
-        x, y, z = (given[f"n_{c}"].to_numpy() for c in "xyz")
-        cx, cy = np.floor(x / cell).astype(np.int64), np.floor(y / cell).astype(np.int64)
-        gx, gy = np.floor(qx / cell).astype(np.int64), np.floor(qy / cell).astype(np.int64)
-        low_x, low_y = gx.min() - 2, gy.min() - 2
-        width = int(gx.max() - low_x) + 4
-        inside = (cx >= low_x) & (cx < low_x + width) & (cy >= low_y)
-        code = ((cy - low_y) * width + cx - low_x)[inside]
-        order = np.argsort(code, kind="stable")
-        code, x, y, z = code[order], x[inside][order], y[inside][order], z[inside][order]
-        by_cell = np.lexsort((gx, gy))  # queries of a cell look at the same rows
-        value = np.empty(len(qx))
-        base = (gy - low_y) * width + gx - low_x
-        lo = np.stack([np.searchsorted(code, base[by_cell] + i * width - 1) for i in (-1, 0, 1)], axis=1)
-        hi = np.stack([np.searchsorted(code, base[by_cell] + i * width + 1, side="right") for i in (-1, 0, 1)], axis=1)
-        size = (hi - lo).sum(axis=1)
-        cuts = np.searchsorted(np.cumsum(size), np.arange(PAIRS, size.sum() + PAIRS, PAIRS), side="left") + 1
-        start = 0
-        for stop in [*np.unique(np.minimum(cuts, len(qx))).tolist(), len(qx)]:
-            if stop <= start:
-                continue
-            rows = by_cell[start:stop]
-            runs = (hi - lo)[start:stop].ravel()
-            ends = np.cumsum(runs)
-            pick = np.arange(ends[-1]) + np.repeat(lo[start:stop].ravel() - (ends - runs), runs)
-            n = size[start:stop]
-            dx, dy = x[pick] - np.repeat(qx[rows], n), y[pick] - np.repeat(qy[rows], n)
-            d2 = dx * dx + dy * dy
-            if within_radius:
-                near = d2 <= radius * radius
-                upto = np.append(0, np.cumsum(near))
-                last = np.cumsum(n)
-                n = upto[last] - upto[last - n]
-                pick, dx, dy, d2 = pick[near], dx[near], dy[near], d2[near]
-            value[rows] = how(Near(n, d2, dx, dy, z[pick], own[rows]))
-            start = stop
-        return asked.select(list(keys)).append_column("value", pa.array(value, from_pandas=True))
+        strips = disks.Strips(*(given[f"n_{c}"].to_numpy() for c in "xyz"), radius)
+        return asked.select(list(keys)).append_column("value", pa.array(how(strips, qx, qy, own), from_pandas=True))
 
     types = dict(queries.dtypes)
     schema = ", ".join([*[f"`{k}` {types[k]}" for k in keys], "value double"])
@@ -165,43 +98,62 @@ def measure(queries: DataFrame, data: DataFrame, radius: float, keys: Sequence[s
 
 
 def min_filter(queries, data, radius, keys, cell=None):
-    return measure(queries, data, radius, keys, lambda p: p.reduce(np.minimum, p.z), cell)
+    return measure(queries, data, radius, keys, _run_by_run(lambda p: p.extreme(np.minimum, p.strips.least)), cell)
 
 
 def max_filter(queries, data, radius, keys, cell=None):
-    return measure(queries, data, radius, keys, lambda p: p.reduce(np.maximum, p.z), cell)
+    return measure(queries, data, radius, keys, _run_by_run(lambda p: p.extreme(np.maximum, p.strips.most)), cell)
 
 
 def mean_filter(queries, data, radius, keys, cell=None):
-    return measure(queries, data, radius, keys, lambda p: p.mean(p.z), cell)
+    return measure(queries, data, radius, keys, _run_by_run(lambda p: p.mean()), cell)
 
 
 def median_filter(queries, data, radius, keys, cell=None):
     """The mean of the middle two for an even number."""
-    return measure(queries, data, radius, keys, lambda p: p.median(), cell)
+    return measure(queries, data, radius, keys, _run_by_run(lambda p: p.median()), cell)
 
 
 def var_filter(queries, data, radius, keys, cell=None):
     """Population variance; null for fewer than two neighbours."""
-    return measure(queries, data, radius, keys, lambda p: p.variance(), cell)
+    return measure(queries, data, radius, keys, _run_by_run(lambda p: p.variance()), cell)
 
 
 def idw_filter(queries, data, radius, keys, cell=None):
     """Mean weighted by the inverse squared distance, which counts as 1e-8 at least."""
-    return measure(queries, data, radius, keys, lambda p: p.idw(), cell)
+
+    def weighted(strips: disks.Strips, qx: np.ndarray, qy: np.ndarray, own: np.ndarray) -> np.ndarray:
+        x, y, total, count = disks.merged(strips.x, strips.y, strips.z)
+        one = disks.Strips(x, y, np.arange(len(x), dtype=float), radius)  # a row for each place; its height says which
+        which = one.z.astype(np.int64)
+        total, count = total[which], count[which]
+
+        def value(near: disks.Disks) -> np.ndarray:
+            out = np.empty(len(near))
+            for a, b, who, rows in near.pairs():
+                dx, dy = one.x[rows] - near.qx[a:b][who], one.y[rows] - near.qy[a:b][who]
+                w = 1 / np.maximum(dx * dx + dy * dy, 1e-8)
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    out[a:b] = np.bincount(who, w * total[rows], b - a) / np.bincount(who, w * count[rows], b - a)
+            return out
+
+        return _run_by_run(value)(one, qx, qy, own)
+
+    return measure(queries, data, radius, keys, weighted, cell)
 
 
 def density_filter(queries, data, radius, keys, cell=None):
     """Points per area of the circle; 0 where there are none."""
-    return measure(queries, data, radius, keys, lambda p: p.n / (math.pi * radius * radius), cell)
+    return measure(queries, data, radius, keys, _run_by_run(lambda p: p.n / (math.pi * radius * radius)), cell)
 
 
 def distance_filter(queries, data, cell, keys, max_dist: float | None = None):
     """Distance to the nearest point of the 3 x 3 cells, whatever the radius; with max_dist only within it."""
 
-    def nearest(p: Near) -> np.ndarray:
-        d = np.sqrt(p.reduce(np.minimum, p.d2))
-        return d if max_dist is None else np.where(d <= max_dist, d, np.nan)
+    def nearest(strips: disks.Strips, qx: np.ndarray, qy: np.ndarray, own: np.ndarray) -> np.ndarray:
+        x, y, _, _ = disks.merged(strips.x, strips.y, strips.z)
+        d = np.sqrt(disks.by_place(qx, qy, lambda px, py: disks.nearest2(x, y, px, py, cell)))
+        return np.where(d <= (np.finfo(float).max if max_dist is None else max_dist), d, np.nan)
 
     return measure(queries, data, cell, keys, nearest, cell, within_radius=False)
 
@@ -215,7 +167,43 @@ def spike_filter(queries: DataFrame, data: DataFrame, radius: float, tan2: float
     """
     if "z" not in keys:
         raise ValueError("z must be among the keys")
-    return measure(queries, data, radius, keys, lambda p: p.spike(radius, tan2, z_limit), cell)
+
+    def extremes(strips: disks.Strips, qx: np.ndarray, qy: np.ndarray, own: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(qx))
+        order = np.lexsort((qx, qy))
+        at, x, y, z = order, qx[order], qy[order], own[order]
+        for share in (0.25, 1.0):  # a smaller disk rules most out: a point of it that is not steep, or dz of both signs
+            part = strips if share == 1.0 else disks.Strips(strips.x, strips.y, strips.z, radius * share)
+            value = np.zeros(len(at))
+            for span, near in part.around(x, y):
+                mine = z[span]
+                for a, b, who, rows in near.pairs():
+                    dx, dy = part.x[rows] - near.qx[a:b][who], part.y[rows] - near.qy[a:b][who]
+                    value[span][a:b] = _spike(who, b - a, dx, dy, part.z[rows] - mine[a:b][who], radius, tan2, z_limit, share == 1.0)
+            left = value != 0 if share < 1.0 else np.ones(len(at), bool)
+            if share == 1.0:
+                out[at] = value
+            at, x, y, z = at[left], x[left], y[left], z[left]
+        return out
+
+    return measure(queries, data, radius, keys, extremes, cell)
+
+
+def _spike(who: np.ndarray, n: int, dx: np.ndarray, dy: np.ndarray, dz: np.ndarray, radius: float, tan2: float, z_limit: float, whole: bool) -> np.ndarray:
+    """The mean dz of places that are spikes, else 0; unless `whole`, 1 of places that may be one, judged by a part of the disk."""
+    d2 = dx * dx + dy * dy
+    some = lambda mask: np.bincount(who[mask], minlength=n) > 0
+    steep = (np.abs(dz) > z_limit) & (dz * dz > tan2 * d2)
+    ok = ~some(~steep & (d2 > (0.2 * radius) ** 2)) & ~(some(dz > 1e-6) & some(dz < -1e-6))
+    if not whole:
+        return ok.astype(float)
+    right, up = dx >= 0, dy >= 0
+    for quadrant in (right & up, right & ~up, ~right & up, ~right & ~up):
+        ok &= some(steep & quadrant)
+    count = np.bincount(who, minlength=n)
+    ok &= count >= 4
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return np.where(ok, np.bincount(who, dz, n) / count, 0.0)
 
 
 def spatial_sort(points: DataFrame, cell: float) -> DataFrame:
