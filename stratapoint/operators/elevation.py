@@ -13,28 +13,41 @@ from .points import cut_to_class
 POINT = ["k", "x", "y", "z", "c", "pid", "rn"]
 
 
-def strip_surfaces(points: DataFrame, classes: Sequence[int], angle: float, tol_xy: float, tol_z: float, least: int = 50) -> DataFrame:
-    """Valid triangles of every strip with more than `least` points of the classes."""
-    ground = cut_to_class(points, classes).select("pid", "x", "y", "z")
+def strip_points(points: DataFrame, classes: Sequence[int], least: int = 50) -> DataFrame:
+    """pid, x, y, z of the strips with more than `least` points of the classes; a parameter: smaller ones give no surface.
+
+    They are written once, as counts, strips by block and surfaces all read them: points should be cut to the features first."""
+    ground = regions.cut(cut_to_class(points, classes).select("pid", "x", "y", "z"), "strips")
     enough = ground.groupBy("pid").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > least).select("pid")
-    surface = tin.geometry(tin.triangulate(ground.join(enough, "pid", "left_semi"), ["pid"]))
-    return surface.where(tin.valid(angle, tol_xy, tol_z))
+    return ground.join(enough, "pid", "left_semi")
 
 
-def strip_differences(near: DataFrame, surfaces: DataFrame, strips: DataFrame) -> DataFrame:
-    """Points near features (feat_id, pid, x, y, z) against the surfaces of the other strips: id1 (surface), id2, dz.
+def beside(points: DataFrame, places: DataFrame, reach: float = 2 * tin.HALO) -> DataFrame:
+    """Points of the cells, as wide as the reach, at and around a place's: all that are nearer, at least."""
+    cells = tin.in_blocks(places.select("x", "y"), reach, reach).select("bx", "by").distinct()
+    at = {"bx": F.floor(F.col("x") / reach).cast("int"), "by": F.floor(F.col("y") / reach).cast("int")}
+    return points.withColumns(at).join(geometry.small_enough(cells, geometry.BROADCAST_SEGMENTS), ["bx", "by"], "left_semi").drop("bx", "by")
 
-    strips: the distinct pid, one row each, from a scan of the points; asking the surfaces would build them twice.
-    """
-    strips = strips.select(F.col("pid").alias("other"))
-    asked = near.select("feat_id", F.col("pid").alias("id2"), "x", "y", "z").join(F.broadcast(strips), F.col("other") != F.col("id2"))
-    got = tin.interpolate(asked.withColumnRenamed("other", "pid"), surfaces, ["feat_id", "id2", "x", "y", "z"], "h", on=["pid"])
+
+def _asked(queries: DataFrame, ground: DataFrame) -> DataFrame:
+    """Each query once for every strip with points in its block, or beside it."""
+    at = {"bx": F.floor(F.col("x") / tin.BLOCK).cast("int"), "by": F.floor(F.col("y") / tin.BLOCK).cast("int")}
+    strips = tin.in_blocks(ground, tin.BLOCK, tin.HALO).select("pid", "bx", "by").distinct()
+    return queries.withColumns(at).join(strips, ["bx", "by"]).drop("bx", "by")
+
+
+def strip_differences(near: DataFrame, ground: DataFrame, tolerances: tuple[float, float, float]) -> DataFrame:
+    """Points near features (feat_id, pid, x, y, z) against the surfaces of the other strips' ground: id1 (surface), id2, dz."""
+    mine = near.select("feat_id", F.col("pid").alias("id2"), "x", "y", "z")
+    asked = _asked(mine, ground).where("pid <> id2")
+    got = tin.heights(asked, ground, ["feat_id", "id2", "x", "y", "z"], on=["pid"], tolerances=tolerances, prune=True)
     return got.select("feat_id", F.col("pid").alias("id1"), "id2", (F.col("h") - F.col("z")).alias("dz"))
 
 
-def precision(near: DataFrame, surfaces: DataFrame, strips: DataFrame, least: int = 2) -> DataFrame:
-    """Per feature and pair of strips: trimmed statistics both ways, and the combined precision."""
-    stats = aggregates.dz_statistics(strip_differences(near, surfaces, strips), ["feat_id", "id1", "id2"]).where(F.col("n") >= least)
+def precision(near: DataFrame, ground: DataFrame, tolerances: tuple[float, float, float], least: int = 2) -> DataFrame:
+    """Per feature and pair of strips: trimmed statistics both ways, and the combined precision. least: differences that a
+    direction must have to count, a parameter."""
+    stats = aggregates.dz_statistics(strip_differences(near, ground, tolerances), ["feat_id", "id1", "id2"]).where(F.col("n") >= least)
     lo, hi = F.least("id1", "id2"), F.greatest("id1", "id2")
     way = F.when(F.col("id1") < F.col("id2"), "12").otherwise("21")
     both = stats.select("feat_id", lo.alias("id1"), hi.alias("id2"), way.alias("way"), "mean", "sd", "rms", "n")
@@ -45,10 +58,10 @@ def precision(near: DataFrame, surfaces: DataFrame, strips: DataFrame, least: in
     return wide.withColumn("combined_precision", combined)
 
 
-def accuracy(vertices: DataFrame, surfaces: DataFrame, strips: DataFrame) -> DataFrame:
+def accuracy(vertices: DataFrame, ground: DataFrame, tolerances: tuple[float, float, float]) -> DataFrame:
     """Strips' surfaces against control features: mean and deviation of height less the feature's, per strip and feature."""
-    asked = vertices.select("feat_id", "seq", "x", "y", "z").crossJoin(F.broadcast(strips))  # a few strips
-    got = tin.interpolate(asked, surfaces, ["feat_id", "seq", "x", "y", "z"], "h", on=["pid"])
+    asked = _asked(vertices.select("feat_id", "seq", "x", "y", "z"), ground)
+    got = tin.heights(asked, ground, ["feat_id", "seq", "x", "y", "z"], on=["pid"], tolerances=tolerances, prune=True)
     dz = F.col("h") - F.col("z")
     return got.groupBy("feat_id", "pid").agg(F.avg(dz).alias("mean"), F.stddev_pop(dz).alias("sigma"), F.count(F.lit(1)).alias("npoints"), F.avg("x").alias("x"), F.avg("y").alias("y"))
 

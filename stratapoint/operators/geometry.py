@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import add, or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -63,6 +67,25 @@ def ray_crosses(x: Column, y: Column, far_x: Column, far_y: Column, s) -> Column
     return F.coalesce(within(t) & within(u), F.lit(False))
 
 
+UNROLLED = 6  # segments of an array that compiled code goes through; a function called for each, several times slower, takes the rest
+
+
+def _rest(segments: Column) -> Column:
+    return F.slice(segments, UNROLLED + 1, F.greatest(F.size(segments), F.lit(1)))
+
+
+def crossings(segments: Column, crosses: Callable[[Column], Column]) -> Column:
+    """How many segments of an array the ray crosses."""
+    few = [F.coalesce(crosses(F.get(segments, F.lit(k))), F.lit(False)).cast("int") for k in range(UNROLLED)]
+    more = F.aggregate(_rest(segments), F.lit(0), lambda n, s: n + crosses(s).cast("int"))
+    return reduce(add, few) + F.when(F.size(segments) > UNROLLED, more).otherwise(0)
+
+
+def any_segment(segments: Column, holds: Callable[[Column], Column]) -> Column:
+    few = [F.coalesce(holds(F.get(segments, F.lit(k))), F.lit(False)) for k in range(UNROLLED)]
+    return reduce(or_, few) | ((F.size(segments) > UNROLLED) & F.exists(_rest(segments), holds))
+
+
 def points_in_polygons(points: DataFrame, vertices: DataFrame, cell: float = 50.0) -> DataFrame:
     """Points with the feat_id of each polygon that holds them.
 
@@ -72,8 +95,8 @@ def points_in_polygons(points: DataFrame, vertices: DataFrame, cell: float = 50.
     rings = segments(vertices).groupBy("feat_id").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("ring_segments"))
     near = candidates(points, vertices, cell)
     both = near.join(small_enough(rings, BROADCAST_SEGMENTS // 50), "feat_id")
-    crossings = F.aggregate("ring_segments", F.lit(0), lambda n, s: n + ray_crosses(F.col("x"), F.col("y"), F.col("xmax") + 10, F.col("y") + 8.1234, s).cast("int"))
-    return both.where(crossings % 2 == 1).drop("ring_segments", "xmin", "ymin", "xmax", "ymax")
+    met = crossings(F.col("ring_segments"), lambda s: ray_crosses(F.col("x"), F.col("y"), F.col("xmax") + 10, F.col("y") + 8.1234, s))
+    return both.where(met % 2 == 1).drop("ring_segments", "xmin", "ymin", "xmax", "ymax")
 
 
 def distance2(x: Column, y: Column, s) -> Column:
@@ -97,7 +120,7 @@ def points_near_lines(points: DataFrame, vertices: DataFrame, distance: float, c
     by_cell = cells.groupBy("gx", "gy", "feat_id").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("near"))
     keyed = points.withColumn("gx", F.floor(F.col("x") / cell).cast("int")).withColumn("gy", F.floor(F.col("y") / cell).cast("int"))
     both = keyed.join(small_enough(by_cell, BROADCAST_SEGMENTS // 4), ["gx", "gy"])
-    return both.where(F.exists("near", lambda s: distance2(F.col("x"), F.col("y"), s) < distance * distance)).drop("near", "gx", "gy")
+    return both.where(any_segment(F.col("near"), lambda s: distance2(F.col("x"), F.col("y"), s) < distance * distance)).drop("near", "gx", "gy")
 
 
 def clip_segment(s: Column, box: Column) -> Column:

@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """df over as many partitions as there are cores where its files make fewer (a row group is not split); else as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def read_filtered(points: DataFrame, classes: Iterable[int] | None = None, xy_box: Sequence[float] | None = None, z_box: Sequence[float] | None = None) -> DataFrame:
     """The filters of a load: classes are alternatives, the xy box is inclusive, the z box strict."""
     out = points

@@ -109,6 +109,112 @@ def locate(queries: DataFrame, tin: DataFrame, qkeys: Sequence[str], on: Sequenc
     return left.cogroup(right).applyInArrow(run, struct)
 
 
+def in_blocks(points: DataFrame, block: float, halo: float) -> DataFrame:
+    """points once for each block (bx, by) that they lie in, or within the halo of."""
+    span = lambda a: F.sequence(F.floor((F.col(a) - halo) / block).cast("int"), F.floor((F.col(a) + halo) / block).cast("int"))
+    return points.withColumn("bx", F.explode(span("x"))).withColumn("by", F.explode(span("y")))
+
+
+BLOCK, HALO = 40.0, 12.0
+
+
+def over(queries: DataFrame, points: DataFrame, qkeys: Sequence[str], on: Sequence[str] = (), tolerances: tuple[float, float, float] | None = None, prune: bool = False, block: float = BLOCK, halo: float = HALO) -> DataFrame:
+    """qkeys, on, the corners of the triangle over points (x, y, z; of the same on) that holds each query, and its weights b0, b1, b2.
+
+    One step instead of triangulate and locate, for surfaces that are not wanted themselves. A block's task triangulates only
+    what lies near its queries, and looks further around those whose triangle's circle leaves that ground, up to the halo: the
+    triangle is that of all points wherever its circle lies within the halo. tolerances (angle, size, height): a triangle must
+    be valid(). Of several triangles at an edge the first counts, by the place of their centres. prune: points of blocks without
+    queries are left out before they move.
+    """
+    names = list(dict.fromkeys([*qkeys, *on]))
+    at = {"_bx": F.floor(F.col("x") / block).cast("int"), "_by": F.floor(F.col("y") / block).cast("int")}
+    placed = queries.select(*dict.fromkeys([*names, "x", "y"])).withColumns(at)
+    spread = in_blocks(points.select(*on, "x", "y", "z"), block, halo).select(*[F.col(c).alias(f"t_{c}") for c in [*on, *"xyz"]], F.col("bx").alias("_nx"), F.col("by").alias("_ny"))
+    if prune:
+        asked_blocks = queries.withColumns(at).select(F.col("_bx").alias("_nx"), F.col("_by").alias("_ny")).distinct()
+        spread = spread.join(asked_blocks, ["_nx", "_ny"], "left_semi")
+    struct = T.StructType([*[queries.schema[n] for n in names], *[T.StructField(c, T.DoubleType()) for c in [*[c for c in CORNERS if c not in names], *[f"b{k}" for k in range(3)]]]])
+    out_schema = to_arrow_schema(struct)
+
+    def run(asked: pa.Table, given: pa.Table) -> pa.Table:
+        if not asked.num_rows or not given.num_rows:  # a side without rows comes without columns
+            return out_schema.empty_table()
+        q, corners, b = _surface_at(np.stack([asked[a].to_numpy() for a in "xy"], axis=1), np.stack([given[f"t_{a}"].to_numpy() for a in "xyz"], axis=1), halo, tolerances)
+        columns = [asked[n].take(pa.array(q)) for n in names] + [pa.array(corners[:, k, j]) for k in range(3) for j in range(3)] + [pa.array(w) for w in b]
+        return pa.Table.from_arrays(columns, names=out_schema.names)
+
+    return placed.groupBy("_bx", "_by", *on).cogroup(spread.groupBy("_nx", "_ny", *[f"t_{c}" for c in on])).applyInArrow(run, struct)
+
+
+def _surface_at(xy: np.ndarray, xyz: np.ndarray, halo: float, tolerances: tuple[float, float, float] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which queries a valid triangle holds, its corners and the weights."""
+    order = np.lexsort((xyz[:, 2], xyz[:, 1], xyz[:, 0]))
+    xyz = xyz[order]
+    xyz = xyz[np.r_[True, (xyz[1:, :2] != xyz[:-1, :2]).any(axis=1)]]
+    area = max(float(np.ptp(xyz[:, 0]) * np.ptp(xyz[:, 1])), 1e-6)
+    reach = 6 * float(np.sqrt(area / len(xyz)))  # six mean distances
+    pending = np.arange(len(xy))
+    out_q, out_c, out_b = [], [], []
+    while len(pending):
+        near = _beside(xyz, xy[pending], reach) if reach < halo else np.ones(len(xyz), bool)
+        last = near.mean() > 0.7
+        used = xyz if last else xyz[near]
+        corners = used[delaunay(used[:, 0], used[:, 1])]
+        corners = corners[np.lexsort(corners[:, :, :2].mean(axis=1).T)] if len(corners) else corners
+        q, t = _candidates(xy[pending], corners[:, :, :2].transpose(1, 0, 2)) if len(corners) else (np.zeros(0, np.int64),) * 2
+        b = _weights(xy[pending][q], corners[t, :, :2].transpose(1, 0, 2))
+        hit = (b > -EDGE).all(axis=0)
+        q, t, b = q[hit], t[hit], b[:, hit]
+        sure = np.ones(len(pending), bool) if last else np.bincount(q, minlength=len(pending)) > 0
+        if not last:  # a circle through the triangle lies within its diameter of the query
+            sure[q[2 * _radius(corners[t, :, :2]) > reach]] = False
+        if tolerances is not None:
+            fit = _valid(corners, *tolerances)[t]
+            q, t, b = q[fit], t[fit], b[:, fit]
+        taken = sure[q]
+        q, t, b = q[taken], t[taken], b[:, taken]
+        first = np.lexsort((t, q))
+        q, t, b = q[first], t[first], b[:, first]
+        new = np.r_[True, q[1:] != q[:-1]] if len(q) else np.zeros(0, bool)
+        out_q.append(pending[q[new]])
+        out_c.append(corners[t[new]])
+        out_b.append(b[:, new])
+        pending, reach = pending[~sure], reach * 3
+    return np.concatenate(out_q), np.concatenate(out_c).reshape(-1, 3, 3), np.concatenate(out_b, axis=1)
+
+
+def _beside(xyz: np.ndarray, xy: np.ndarray, reach: float) -> np.ndarray:
+    """Points in the 3 x 3 cells of the size `reach` around the queries': all that are nearer, at least."""
+    low = np.minimum(xyz[:, :2].min(axis=0), xy.min(axis=0)) - reach
+    cell = lambda p: np.floor((p - low) / reach).astype(np.int64)
+    mine, asked = cell(xyz[:, :2]), cell(xy)
+    shape = np.maximum(mine.max(axis=0), asked.max(axis=0)) + 2
+    marked = np.zeros(shape, bool)
+    asked = np.unique(asked, axis=0)
+    for i in (-1, 0, 1):
+        for j in (-1, 0, 1):
+            marked[asked[:, 0] + i, asked[:, 1] + j] = True
+    return marked[mine[:, 0], mine[:, 1]]
+
+
+def _radius(tri: np.ndarray) -> np.ndarray:
+    """Radii of the circles through the corners."""
+    a, b, c = tri.transpose(1, 0, 2)
+    sides = np.hypot(*(b - a).T) * np.hypot(*(c - b).T) * np.hypot(*(a - c).T)
+    cross = (b - a)[:, 0] * (c - a)[:, 1] - (b - a)[:, 1] * (c - a)[:, 0]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(cross == 0, np.inf, sides / (2 * np.abs(cross)))
+
+
+def _valid(tri: np.ndarray, max_angle: float, tol_xy: float, tol_z: float) -> np.ndarray:
+    """valid() of corners."""
+    n = np.cross(tri[:, 1] - tri[:, 0], tri[:, 2] - tri[:, 0])
+    flat = n[:, 0] ** 2 + n[:, 1] ** 2 < math.tan(math.radians(max_angle)) ** 2 * n[:, 2] ** 2
+    size = np.ptp(tri, axis=1)
+    return flat & (size[:, :2].max(axis=1) < tol_xy) & (size[:, 2] < tol_z)
+
+
 def _candidates(xy: np.ndarray, tri: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of a query and a triangle whose box lies in the query's cell of a grid."""
     low, high = tri.min(axis=0), tri.max(axis=0)
@@ -144,18 +250,26 @@ def _weights(xy: np.ndarray, tri: np.ndarray) -> np.ndarray:
     return np.where(det == 0, -1.0, np.stack([1 - b1 - b2, b1, b2]))
 
 
+def height(cut_off: float | None = None) -> Column:
+    """The height that weights and corners give. With a cut_off, corners that lie higher than that above the lowest count only
+    very near to them."""
+    if cut_off is None:
+        return sum((_c(f"b{k}") * _c(f"z{k}") for k in range(3)), F.lit(0.0))
+    low = F.least(*[_c(f"z{k}") for k in range(3)])
+    keep = [~((_c(f"z{k}") - low > cut_off) & (_c(f"b{k}") < 0.99)) for k in range(3)]
+    kept = lambda v: sum((F.when(keep[k], v(k)).otherwise(0.0) for k in range(3)), F.lit(0.0))
+    return F.try_divide(kept(lambda k: _c(f"b{k}") * _c(f"z{k}")), kept(lambda k: _c(f"b{k}")))
+
+
 def interpolate(queries: DataFrame, tin: DataFrame, qkeys: Sequence[str], value: str = "h", on: Sequence[str] = (), cut_off: float | None = None) -> DataFrame:
-    """Queries that a triangle holds with its height there. With a cut_off, corners that lie higher than that above the
-    lowest count only very near to them."""
+    """Queries that a triangle of the tin holds, with its height there."""
     found = locate(queries, tin, qkeys, on)
-    if cut_off is None:
-        height = sum((_c(f"b{k}") * _c(f"z{k}") for k in range(3)), F.lit(0.0))
-    else:
-        low = F.least(*[_c(f"z{k}") for k in range(3)])
-        keep = [~((_c(f"z{k}") - low > cut_off) & (_c(f"b{k}") < 0.99)) for k in range(3)]
-        kept = lambda v: sum((F.when(keep[k], v(k)).otherwise(0.0) for k in range(3)), F.lit(0.0))
-        height = F.try_divide(kept(lambda k: _c(f"b{k}") * _c(f"z{k}")), kept(lambda k: _c(f"b{k}")))
-    return found.withColumn(value, height).drop(*CORNERS, *[f"b{k}" for k in range(3)], "tan2", "xy_size", "z_range")
+    return found.withColumn(value, height(cut_off)).drop(*CORNERS, *[f"b{k}" for k in range(3)], "tan2", "xy_size", "z_range")
+
+
+def heights(queries: DataFrame, points: DataFrame, qkeys: Sequence[str], value: str = "h", on: Sequence[str] = (), cut_off: float | None = None, tolerances: tuple[float, float, float] | None = None, prune: bool = False) -> DataFrame:
+    """Queries that a triangle over the points holds, with its height there; see over()."""
+    return over(queries, points, qkeys, on, tolerances, prune).select(*dict.fromkeys([*qkeys, *on]), height(cut_off).alias(value))
 
 
 def boundary_vertices(tin: DataFrame, bad: Column, points: DataFrame | None = None) -> DataFrame:

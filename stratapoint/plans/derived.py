@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..model import REPORTED, tile_name
+from ..operators.points import spread
 
 X0, Y0, SIDE = 632900.0, 6173900.0, 200.0
 X1, Y1 = X0 + SIDE, Y0 + SIDE
@@ -29,7 +30,7 @@ GCPS = [(1, 632950.3, 6173950.2, 21.5), (2, 633000.1, 6174000.1, 24.0), (3, 6330
 
 
 def _points(spark: SparkSession, sf_dir: str, x=(131, 17, 389), y=(197, 29, 541)) -> DataFrame:
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    li = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), "l_orderkey", "l_linenumber")
     o, p, s, n = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
     return li.select(
         (o * 8 + n).alias("k"),

@@ -62,35 +62,32 @@ def find_triangles(s, d):
 @query("interpolate")
 def interpolate(s, d):
     key = ["k", "x", "y", "z", "c", "pid", "rn"]
-    other = P.cut_to_class(D.points(s, d), 5).select(*key)
-    return tin.interpolate(other, tin.triangulate(ground(s, d)), key).select(*key, "h")
+    return tin.heights(P.cut_to_class(D.points(s, d), 5).select(*key), ground(s, d), key)
 
 
 @query("controlled_interpolation")
 def controlled_interpolation(s, d):
     key = ["k", "x", "y", "z", "c", "pid", "rn"]
-    other = P.cut_to_class(D.points(s, d), 5).select(*key)
-    surface = tin.geometry(tin.triangulate(D.points(s, d).select("x", "y", "z"))).where(tin.valid(85.0, 2.0, 30.0))
-    return tin.interpolate(other, surface, key).select(*key, "h")
+    return tin.heights(P.cut_to_class(D.points(s, d), 5).select(*key), D.points(s, d), key, tolerances=(85.0, 2.0, 30.0))
+
+
+def centres(s: SparkSession) -> DataFrame:
+    return raster.mesh_points(raster.mesh(s, 100, 100), D.X0, D.Y1, 2.0)
 
 
 @query("tin_grid")
 def tin_grid(s, d):
-    centres = raster.mesh_points(raster.mesh(s, 100, 100), D.X0, D.Y1, 2.0)
-    return tin.interpolate(centres, tin.triangulate(ground(s, d)), ["row", "col", "x", "y"], "value").select("row", "col", "value")
+    return tin.heights(centres(s), ground(s, d), ["row", "col"], "value")
 
 
 @query("tin_grid_low")
 def tin_grid_low(s, d):
-    centres = raster.mesh_points(raster.mesh(s, 100, 100), D.X0, D.Y1, 2.0)
-    return tin.interpolate(centres, tin.triangulate(ground(s, d)), ["row", "col", "x", "y"], "value", cut_off=5.0).select("row", "col", "value")
+    return tin.heights(centres(s), ground(s, d), ["row", "col"], "value", cut_off=5.0)
 
 
 @query("triangle_size_grid")
 def triangle_size_grid(s, d):
-    centres = raster.mesh_points(raster.mesh(s, 100, 100), D.X0, D.Y1, 2.0)
-    found = tin.locate(centres, tin.geometry(tin.triangulate(ground(s, d))), ["row", "col", "x", "y"])
-    return found.select("row", "col", F.col("xy_size").alias("value"))
+    return tin.geometry(tin.over(centres(s), ground(s, d), ["row", "col"])).select("row", "col", F.col("xy_size").alias("value"))
 
 
 @query("boundary_vertices")
@@ -122,40 +119,37 @@ def road_delta_check(s, d):
     return near.groupBy("feat_id").agg(F.max("z_range").alias("z_step_max"), F.min("z_range").alias("z_step_min"), F.count(F.lit(1)).alias("n"))
 
 
-def _strips(s, d):
-    return D.points(s, d).select("pid").distinct()
+LOOSE = (89.0, 10.0, 40.0)  # the derived heights are noise: the kernels' own tolerances pass little of them
 
 
 @query("z_accuracy")
 def z_accuracy(s, d):
-    surfaces = elevation.strip_surfaces(D.points(s, d), ALL, 89.0, 10.0, 40.0)
-    return elevation.accuracy(D.lines(s), surfaces, _strips(s, d))
+    around = elevation.beside(D.points(s, d), D.lines(s))
+    return elevation.accuracy(D.lines(s), elevation.strip_points(around, ALL), LOOSE)
 
 
 @query("z_accuracy_gcp")
 def z_accuracy_gcp(s, d):
-    """Height of the surface of the points within 30 m of each control point, less its own; slope and size there."""
-    surface = tin.geometry(tin.triangulate(D.points(s, d).where("c in (2, 9, 17)").select("x", "y", "z")))
-    got = tin.locate(D.gcps(s), surface, ["id", "x", "y", "z"])
-    height = sum((F.col(f"b{k}") * F.col(f"z{k}") for k in range(3)), F.lit(0.0))
-    return got.select("id", "z", (height - F.col("z")).alias("dz"), F.degrees(F.atan(F.sqrt("tan2"))).alias("t_angle"), F.col("xy_size").alias("t_size"))
+    """Height of the surface of the points around each control point, less its own; slope and size there."""
+    around = elevation.beside(P.cut_to_class(D.points(s, d), [2, 9, 17]), D.gcps(s), 30.0)
+    got = tin.geometry(tin.over(D.gcps(s), around, ["id", "x", "y", "z"], prune=True))
+    return got.select("id", "z", (tin.height() - F.col("z")).alias("dz"), F.degrees(F.atan(F.sqrt("tan2"))).alias("t_angle"), F.col("xy_size").alias("t_size"))
 
 
 REACH = 2.0 + 2 * 12.0  # how far from a feature points can shape the surface over it: its buffer, and a circle as wide as the halo allows
 
 
-def _roads(s, d):
-    p = D.points(s, d)
+def _roads(s, d, classes=ALL, tolerances=LOOSE):
+    p = D.points(s, d).select("pid", "x", "y", "z", "c")
     around = geometry.points_near_lines(p, D.lines(s), REACH).drop("feat_id").distinct()
-    surfaces = elevation.strip_surfaces(around, ALL, 89.0, 10.0, 40.0)
-    return elevation.precision(elevation.near_lines(p, D.lines(s), ALL, 2.0), surfaces, _strips(s, d))
+    return elevation.precision(elevation.near_lines(p, D.lines(s), classes, 2.0), elevation.strip_points(around, classes), tolerances)
 
 
-def _houses(s, d):
-    p, houses = D.points(s, d), D.polygons(s).where("ptype = 'building'")
-    inside = elevation.near_polygons(p, houses, ALL)
+def _houses(s, d, classes=ALL, tolerances=LOOSE):
+    p, houses = D.points(s, d).select("pid", "x", "y", "z", "c"), D.polygons(s).where("ptype = 'building'")
+    inside = elevation.near_polygons(p, houses, classes)
     around = inside.unionByName(geometry.points_near_lines(p, houses.select("feat_id", "ring", "seq", "x", "y"), REACH)).drop("feat_id").distinct()
-    return elevation.precision(inside, elevation.strip_surfaces(around, ALL, 89.0, 10.0, 40.0), _strips(s, d))
+    return elevation.precision(inside, elevation.strip_points(around, classes), tolerances)
 
 
 @query("z_precision_roads")
