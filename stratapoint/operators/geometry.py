@@ -67,7 +67,7 @@ def ray_crosses(x: Column, y: Column, far_x: Column, far_y: Column, s) -> Column
     return F.coalesce(within(t) & within(u), F.lit(False))
 
 
-UNROLLED = 6  # segments of an array that compiled code goes through; a function called for each, several times slower, takes the rest
+UNROLLED = 3  # segments of an array that compiled code goes through; a function called for each, several times slower, takes the rest
 
 
 def _rest(segments: Column) -> Column:

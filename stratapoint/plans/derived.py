@@ -5,6 +5,7 @@ A point is a lineitem row: coordinates in eighths and heights in sixteenths of a
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +45,15 @@ def _points(spark: SparkSession, sf_dir: str, x=(131, 17, 389), y=(197, 29, 541)
     )
 
 
+_TYPES = {"int": pa.int32(), "double": pa.float64(), "string": pa.string()}
+
+
+def local(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A few rows as part of the plan: reading them starts no job."""
+    schema = pa.schema([(name, _TYPES[kind]) for name, kind in (c.split() for c in ddl.split(", "))])
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(column, f.type) for column, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema))
+
+
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """k, x, y, z, c, pid, rn, gps_time, tile."""
     return _points(spark, sf_dir).withColumn("tile", tile_name(F.col("x"), F.col("y")))
@@ -56,16 +66,16 @@ def points_old(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def polygons(spark: SparkSession) -> DataFrame:
     rows = [(f, t, r, q, *v) for f, t, r, vs in POLYGONS for q, v in enumerate(vs)]
-    return spark.createDataFrame(rows, "feat_id int, ptype string, ring int, seq int, x double, y double, z double")
+    return local(spark, rows, "feat_id int, ptype string, ring int, seq int, x double, y double, z double")
 
 
 def lines(spark: SparkSession) -> DataFrame:
     rows = [(f, 0, q, *v) for f, vs in LINES for q, v in enumerate(vs)]
-    return spark.createDataFrame(rows, "feat_id int, ring int, seq int, x double, y double, z double")
+    return local(spark, rows, "feat_id int, ring int, seq int, x double, y double, z double")
 
 
 def gcps(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(GCPS, "id int, x double, y double, z double")
+    return local(spark, GCPS, "id int, x double, y double, z double")
 
 
 def geoid(spark: SparkSession) -> DataFrame:

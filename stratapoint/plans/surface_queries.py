@@ -165,7 +165,7 @@ def z_precision_buildings(s, d):
 def sea(s: SparkSession) -> DataFrame:
     """A sea along the east of the extent, a little above the lowest derived heights (SEA_Z)."""
     at = [(633070.0, 6173905.0), (633099.0, 6173905.0), (633099.0, 6173975.0), (633080.0, 6173970.0), (633070.0, 6173905.0)]
-    return s.createDataFrame([(1, 0, q, x, y) for q, (x, y) in enumerate(at)], "feat_id int, ring int, seq int, x double, y double")
+    return D.local(s, [(1, 0, q, x, y) for q, (x, y) in enumerate(at)], "feat_id int, ring int, seq int, x double, y double")
 
 
 SEA_Z = 12.0
@@ -197,7 +197,7 @@ def houses(s: SparkSession) -> DataFrame:
     """Footprints of 16 m by 12 m."""
     at = [(632910.0, 6173920.0), (632960.0, 6174030.0), (633030.0, 6173950.0), (633060.0, 6174060.0)]
     rows = [(k + 1, 0, q, x + dx, y + dy) for k, (x, y) in enumerate(at) for q, (dx, dy) in enumerate([(0, 0), (16, 0), (16, 12), (0, 12), (0, 0)])]
-    return s.createDataFrame([(f, r, q, float(x), float(y)) for f, r, q, x, y in rows], "feat_id int, ring int, seq int, x double, y double")
+    return D.local(s, [(f, r, q, float(x), float(y)) for f, r, q, x, y in rows], "feat_id int, ring int, seq int, x double, y double")
 
 
 def roofs(s: SparkSession, d: str) -> DataFrame:
