@@ -60,7 +60,7 @@ def ridge(xyz: np.ndarray, rings: list[np.ndarray], least: int = 10) -> list[dic
     if len(hits) != 2:
         return []
     (p, d1, rotation), (q, d2, _) = hits
-    z = float(np.mean([pair[0][0] * at[0] + pair[0][1] * at[1] + pair[0][2] for at in (p, q)]))
+    z = float(pair[0].at(np.array([p, q])).mean())
     return [{"rotation": rotation, "dist1": d1, "dist2": d2, "z": z, "x1": p[0] + origin[0], "y1": p[1] + origin[1], "x2": q[0] + origin[0], "y2": q[1] + origin[1]}]
 
 
