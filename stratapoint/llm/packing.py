@@ -2,15 +2,15 @@
 
 Only lengths matter for a packing, so all documents are reduced to a histogram of at most `room` lengths. Over it a
 configuration linear program (which mixes of lengths fill a sequence, and how often each is used) is solved by
-multiplicative weights: a knapsack dynamic program prices the best mix under the current weights, which fall for
-lengths already covered. The solution is rounded down and what is left is packed bin by bin with a bounded
-subset-sum program. Pieces then find their place from their rank among pieces of equal length.
+multiplicative weights: a knapsack dynamic program prices the best mixes under the current weights, which fall
+exponentially with how well their lengths are covered; the average over the rounds is rounded down, and what is left is
+packed bin by bin with a bounded subset-sum program. The weights also give a bound under which no packing can go. Pieces then find their place from their rank among pieces of equal length.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -22,15 +22,17 @@ from .shared import stored
 from .tokens import END, encoder
 
 ROOM = 1024
-ROUNDS = 256  # a priced mix covers at most one part in ROUNDS of the sequences needed
-RATE = 2.0  # of the multiplicative update
+ROUNDS = 400  # of pricing; the solution is the average over them
+RATE = 0.02  # of the multiplicative update in the first rounds
+NEAR = 0.01  # how far under the best value a mix may lie to be used
 PER_BUCKET = 50_000  # pieces ranked together
 
-Mix = list[tuple[int, int]]  # lengths and how many of each
+Mix = Sequence[tuple[int, int]]  # lengths and how many of each
 
 
-def price(values: np.ndarray, room: int) -> tuple[float, np.ndarray]:
-    """Unbounded knapsack: the most valuable mix of lengths 1..room (values[0] is unused), as counts by length."""
+def price(values: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unbounded knapsack over lengths 1..room (values[0] is unused): the best value of each room up to this one, and the
+    length with which it is reached (0: the value of one less)."""
     best = np.zeros(room + 1)
     pick = np.zeros(room + 1, np.int64)
     for c in range(1, room + 1):
@@ -40,34 +42,72 @@ def price(values: np.ndarray, room: int) -> tuple[float, np.ndarray]:
             best[c], pick[c] = options[k], k + 1
         else:
             best[c] = best[c - 1]
-    counts = np.zeros(room + 1, np.int64)
-    c = room
+    return best, pick
+
+
+def _mix(pick: list[int], first: int, room: int) -> tuple[tuple[int, int], ...]:
+    """The best mix with the length `first` in it."""
+    counts = {first: 1}
+    c = room - first
     while c:
         if pick[c]:
-            counts[pick[c]] += 1
+            counts[pick[c]] = counts.get(pick[c], 0) + 1
             c -= pick[c]
         else:
             c -= 1
-    return float(best[room]), counts
-
-
-def solve_lp(hist: np.ndarray, room: int = ROOM, rounds: int = ROUNDS, rate: float = RATE) -> list[tuple[np.ndarray, float]]:
-    """Mixes with fractional multiplicities that cover the histogram without covering any length twice."""
-    left = hist.astype(float)
-    need = max(1.0, (left * np.arange(room + 1)).sum() / room)
-    size = np.arange(room + 1) / room
-    used: list[tuple[np.ndarray, float]] = []
-    while (left > 1e-9).any():
-        share = np.divide(left, hist, out=np.zeros(room + 1), where=hist > 0)
-        weights = np.where(left > 1e-9, size * np.exp(rate * (share - share[hist > 0].mean()) * 0.05), -1.0)
-        _, mix = price(weights, room)
-        if not mix.any():
-            break
-        times = min(need / rounds, float((left[mix > 0] / mix[mix > 0]).min()))
-        left -= times * mix
-        left[left < 1e-9] = 0
-        used.append((mix, times))
-    return used
+    return tuple(sorted(counts.items(), reverse=True))
+
+
+def solve_lp(hist: np.ndarray, room: int = ROOM, rounds: int = ROUNDS, rate: float = RATE, near: float = NEAR) -> tuple[dict[Mix, float], float]:
+    """Mixes with how often each is used, and a bound: no packing has fewer sequences.
+
+    Every round prices mixes by weights of lengths. For each length the best mix that holds it is taken if its value is within
+    `near` of the best of all, and the bound's sequences are dealt to these; weights then fall exponentially with how often
+    their lengths are covered. Mixes and weights are averaged over all rounds but the first quarter; the averaged weights over
+    the value of their best mix solve the dual, which gives the bound (never under the bound by volume).
+    """
+    lengths = np.flatnonzero(hist)
+    if not len(lengths):
+        return {}, 0.0
+    weights = np.where(hist > 0, np.arange(room + 1) / room, -1.0)
+    total = np.zeros(room + 1)
+    used: dict[Mix, float] = {}
+    bound, late = 0.0, 0
+    for turn in range(rounds):
+        best, pick = price(weights, room)
+        bound = max(bound, float((weights[lengths] * hist[lengths]).sum() / best[room]))
+        value = weights[lengths] + best[room - lengths]
+        steps = pick.tolist()
+        chosen = [(_mix(steps, int(n), room), float(hist[n])) for n in lengths[value >= (1 - near) * best[room]]]
+        unit = bound / sum(n for _, n in chosen)
+        covered = np.zeros(room + 1)
+        for mix, n in chosen:
+            for length, count in mix:
+                covered[length] += count * n * unit
+        if turn * 4 >= rounds:
+            late += 1
+            total[lengths] += weights[lengths] / best[room]
+            for mix, n in chosen:
+                used[mix] = used.get(mix, 0.0) + n * unit
+        ratio = np.minimum(covered[lengths] / hist[lengths], 4.0)
+        weights[lengths] *= np.exp(-rate / (1 + turn / 32) ** 0.5 * (ratio - 1))
+        weights[lengths] /= weights[lengths].max()
+    total = np.where(hist > 0, total, -1.0)
+    bound = max(bound, float((total[lengths] * hist[lengths]).sum() / price(total, room)[0][room]))
+    return {mix: n / late for mix, n in used.items()}, bound
+
+
+def rounded(hist: np.ndarray, used: dict[Mix, float], room: int = ROOM) -> list[tuple[Mix, int]]:
+    """Whole uses of the mixes that the histogram still holds, most used first, and the rest bin by bin."""
+    left = hist.astype(np.int64).copy()
+    out: list[tuple[Mix, int]] = []
+    for mix, times in sorted(used.items(), key=lambda m: (-m[1], m[0])):
+        whole = min(int(times), *(int(left[length]) // n for length, n in mix))
+        if whole > 0 and sum(length * n for length, n in mix) == room:
+            for length, n in mix:
+                left[length] -= n * whole
+            out.append((list(mix), whole))
+    return out + fill_rest(left, room)
 
 
 def fill_rest(left: np.ndarray, room: int = ROOM) -> list[tuple[Mix, int]]:
@@ -107,15 +147,10 @@ def fill_rest(left: np.ndarray, room: int = ROOM) -> list[tuple[Mix, int]]:
 
 
 def plan(hist: np.ndarray, room: int = ROOM) -> list[tuple[Mix, int]]:
-    """Mixes and how many sequences each fills; together they hold exactly the histogram."""
-    left = hist.astype(np.int64).copy()
-    out: list[tuple[Mix, int]] = []
-    for mix, times in solve_lp(hist, room):
-        whole = int(times)
-        if whole:
-            left -= whole * mix
-            out.append(([(int(n), int(mix[n])) for n in np.flatnonzero(mix)[::-1]], whole))
-    return out + fill_rest(left, room)
+    """Mixes and how many sequences each fills; together they hold exactly the histogram. The program's solution rounded, or bins
+    filled one after the other where these are fewer (few pieces of many lengths leave little to round down to)."""
+    used, _ = solve_lp(hist, room)
+    return min(rounded(hist, used, room), fill_rest(hist.astype(np.int64), room), key=lambda bins: sum(times for _, times in bins))
 
 
 def places(bins: list[tuple[Mix, int]], room: int = ROOM) -> dict[str, np.ndarray]:

@@ -411,3 +411,19 @@ def test_mixing_joins_many_sources_under_a_salt(spark, monkeypatch):
 def test_mixed_rows(spark):
     rows = [(k, "a b c", None, "ab"[k % 2]) for k in range(100)]
     assert mixing.mixed(docs_of(spark, rows)).count() == 150
+
+
+@pytest.mark.parametrize("shape", ["uniform", "thirds", "halves", "wide"])
+def test_plan_is_near_the_dual_bound(shape):
+    rng = np.random.default_rng(7)
+    draw = {
+        "uniform": lambda: rng.integers(300, 700, 20_000),
+        "thirds": lambda: np.r_[rng.integers(330, 342, 9000), rng.integers(600, 683, 4000)],
+        "halves": lambda: rng.integers(480, 545, 20_000),
+        "wide": lambda: np.clip(rng.lognormal(5.3, 0.7, 50_000).astype(int), 1, 1024),
+    }
+    hist = np.bincount(draw[shape](), minlength=1025)
+    _, bound = packing.solve_lp(hist)
+    assert bound >= (hist * np.arange(1025)).sum() / 1024 - 1e-6
+    n = sum(t for _, t in packing.plan(hist))
+    assert bound <= n + 1e-6 and n <= bound * 1.01 + 1
