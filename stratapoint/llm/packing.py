@@ -58,21 +58,35 @@ def _mix(pick: list[int], first: int, room: int) -> tuple[tuple[int, int], ...]:
     return tuple(sorted(counts.items(), reverse=True))
 
 
+def step_weights(hist: np.ndarray, room: int = ROOM) -> np.ndarray:
+    """The best of the known solutions of the dual that round lengths to multiples of a step: below half the room down, above it
+    so that what is left of the room is rounded down. The length itself is one too, for the step of 1."""
+    length = np.arange(room + 1)
+    best, most = length / room, -1.0
+    for step in range(1, room // 2 + 1):
+        whole = room // step
+        value = np.where(2 * length > room, 2 * (whole - (room - length) // step), np.where(2 * length == room, whole, 2 * (length // step))) / (2 * whole)
+        if (total := float(value @ hist)) > most:
+            best, most = value, total
+    return best
+
+
 def solve_lp(hist: np.ndarray, room: int = ROOM, rounds: int = ROUNDS, rate: float = RATE, near: float = NEAR) -> tuple[dict[Mix, float], float]:
     """Mixes with how often each is used, and a bound: no packing has fewer sequences.
 
     Every round prices mixes by weights of lengths. For each length the best mix that holds it is taken if its value is within
     `near` of the best of all, and the bound's sequences are dealt to these; weights then fall exponentially with how often
     their lengths are covered. Mixes and weights are averaged over all rounds but the first quarter; the averaged weights over
-    the value of their best mix solve the dual, which gives the bound (never under the bound by volume).
+    the value of their best mix solve the dual, which gives the bound, unless the weights it starts from give a higher one.
     """
     lengths = np.flatnonzero(hist)
     if not len(lengths):
         return {}, 0.0
-    weights = np.where(hist > 0, np.arange(room + 1) / room, -1.0)
+    start = step_weights(hist, room)
+    bound, late = max(float(start @ hist), float(np.arange(room + 1) @ hist) / room), 0
+    weights = np.where(hist > 0, start + 0.02 * np.arange(room + 1) / room, -1.0)
     total = np.zeros(room + 1)
     used: dict[Mix, float] = {}
-    bound, late = 0.0, 0
     for turn in range(rounds):
         best, pick = price(weights, room)
         bound = max(bound, float((weights[lengths] * hist[lengths]).sum() / best[room]))
