@@ -34,7 +34,7 @@ def _label(tag: str, attributes: str) -> str:
     if "=" in attributes:
         for kind, a, b, c in _NAMED.findall(attributes):
             sign = {"class": ".", "id": "#"}.get(kind.lower(), "@")
-            names += [sign + n for n in (a or b or c).lower().split()[:6]]
+            names += [sign + n for n in (a or b or c).lower().split()]
     return tag + "".join(names)
 
 

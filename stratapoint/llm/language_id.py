@@ -15,6 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .shared import quoted
 
 DIM = 1024
 GRAM = 3
@@ -130,12 +133,8 @@ def cosines(texts: list[str], prototypes: np.ndarray) -> tuple[np.ndarray, np.nd
     return (vectors / norms) @ prototypes.T, counts.any(axis=1)
 
 
-def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per row of docs: the columns of keep, doc_id, lang_pred, score (the cosine of the winner, 0 to 1).
-
-    A text that is null or has no letter gets 'und' and score 0; ties go to the language first in code-point order;
-    without prototypes every row is 'und'. Whole texts are read; rows are judged one by one.
-    """
+def judge(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of docs: kept (a struct of the columns of keep, whose names may be any), lang_pred, score; see identify()."""
     names, matrix = list(prototypes), np.array(list(prototypes.values()), np.float32).reshape(-1, DIM)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,9 +149,20 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], id_col: str = "
                         preds.append(names[best[j]] if known else UNDETERMINED)
                         scores.append(float(min(1.0, max(0.0, cos[j, best[j]]))) if known else 0.0)
             columns = [batch.column(k) for k in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(preds, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names[:-1], "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(preds, pa.string()), pa.array(scores, pa.float64())], ["kept", "lang_pred", "score"])
+
+    struct = F.struct(*[quoted(c) for c in keep]).alias("kept")
+    rows = docs.select(struct, quoted(text_col).cast("string").alias("text"))
+    schema = T.StructType([rows.schema["kept"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(predict, schema)
 
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
-    out = rows.mapInArrow(predict, ", ".join([*schema, "lang_pred string", "score double"]))
-    return out.drop("_id") if "doc_id" in keep else out.withColumnRenamed("_id", "doc_id")
+
+def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of docs: the columns of keep, doc_id, lang_pred, score (the cosine of the winner, 0 to 1).
+
+    A text that is null or has no letter gets 'und' and score 0; ties go to the language first in code-point order;
+    without prototypes every row is 'und'. Whole texts are read; rows are judged one by one. Columns whose names clash with
+    those of the result are for judge().
+    """
+    found = judge(docs, prototypes, text_col, tuple(dict.fromkeys([*keep, id_col])))
+    return found.select(*[F.col("kept")[c].alias(c) for c in keep if c != id_col], F.col("kept")[id_col].alias("doc_id"), "lang_pred", "score")

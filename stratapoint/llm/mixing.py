@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import stored, width
+from .shared import quoted, stored, width
 
 WEIGHTS = (3, 1, 2)  # by the place of a source in code-point order, repeating
 SHARE = 1.5  # of all sizes
@@ -108,6 +108,7 @@ def _take(ranked: DataFrame, n_sources: int) -> DataFrame:
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The mix itself: the rows of docs, each as often as mix() takes it, with their columns."""
     plan = mix(docs, id_col, text_col, **options).where("copies > 0")
-    plan = plan.groupBy(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).agg(F.max("copies").alias("_copies"))
-    found = docs.join(plan, docs[id_col].eqNullSafe(plan["_id"]) & (F.xxhash64(docs[text_col]) == plan["_tie"]))
-    return found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    plan = plan.groupBy(F.col("doc_id").alias("plan_id"), F.col("tie").alias("plan_tie")).agg(F.max("copies").alias("copies"))
+    rows = docs.select(F.struct("*").alias("kept"), quoted(id_col).alias("id"), F.xxhash64(quoted(text_col)).alias("tie"))  # their names may be any
+    found = rows.join(plan, rows["id"].eqNullSafe(plan["plan_id"]) & (rows["tie"] == plan["plan_tie"]))
+    return found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("kept.*")

@@ -22,7 +22,7 @@ from .shared import stored
 from .tokens import END, encoder
 
 ROOM = 1024
-ROUNDS = 400  # of pricing; the solution is the average over them
+ROUNDS = 200  # of pricing; the solution is the average over them
 RATE = 0.02  # of the multiplicative update in the first rounds
 NEAR = 0.01  # how far under the best value a mix may lie to be used
 PER_BUCKET = 50_000  # pieces ranked together

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -21,6 +22,11 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+def quoted(name: str) -> Column:
+    """The column of that very name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 from .shared import stored
 
 SAMPLE = 20_000  # labelled rows at most that a model is fitted on
-LEXICON = 20_000  # patterns at most that are weighed on the driver
 LEAST_GROUPS = 6  # unlike toxic texts that a term must occur in
 LEAST_ODDS = 3.0  # log odds of a term between toxic and clean texts
 LEAST_ROOT = 4
+LONGEST_ROOT = 24  # letters of a root that stands for the words it starts; longer words count whole
 
 # What stands for a letter. l, i, 1, | and ! fold alike, since 1 may stand for either.
 LOOK_ALIKE = {
@@ -101,9 +101,14 @@ class Model:
 def phrases(folded: str, start: int, end: int) -> list[str]:
     """The hit with the word before, and with the word after."""
     word = folded[start:end]
-    before = _WORD.findall(folded[max(0, start - 40) : start])[-1:]
-    after = _WORD.findall(folded[end : end + 40])[:1]
-    return [f"{w} {word}" for w in before] + [f"{word} {w}" for w in after]
+    stop = start
+    while stop and not folded[stop - 1].isalpha():
+        stop -= 1
+    first = stop
+    while first and folded[first - 1].isalpha():
+        first -= 1
+    after = _WORD.search(folded, end)
+    return ([f"{folded[first:stop]} {word}"] if first < stop else []) + ([f"{word} {after[0]}"] if after else [])
 
 
 def _group(words: list[str]) -> int:
@@ -125,9 +130,9 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 group = _group(words)
                 if label:
                     padded = ["", *words, ""]
-                    seen.update((w, 1, group, zlib.crc32(f"{padded[j]} {padded[j + 2]}".encode())) for j, w in enumerate(words) if len(w) < 40)
+                    seen.update((w, 1, group, zlib.crc32(f"{padded[j]} {padded[j + 2]}".encode())) for j, w in enumerate(words))
                 else:
-                    seen.update((w, 0, group, 0) for w in set(words) if len(w) < 40)
+                    seen.update((w, 0, group, 0) for w in set(words))
             columns = list(zip(*seen, strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int64())], ["word", "toxic", "grp", "context"])
 
@@ -135,7 +140,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _patterns(sample: DataFrame) -> DataFrame:
     """For every word ('word$') and root: groups of toxic and of clean texts, and contexts in toxic ones."""
     words = sample.mapInArrow(_count_words, "word string, toxic int, grp long, context long").groupBy("word", "toxic").agg(F.countDistinct("grp").alias("groups"), F.countDistinct("context").alias("contexts"))
-    lengths = F.when(F.length("word") > LEAST_ROOT, F.sequence(F.lit(LEAST_ROOT), F.least(F.length("word") - 1, F.lit(12)))).otherwise(F.array().cast("array<int>"))
+    lengths = F.when(F.length("word") > LEAST_ROOT, F.sequence(F.lit(LEAST_ROOT), F.least(F.length("word") - 1, F.lit(LONGEST_ROOT)))).otherwise(F.array().cast("array<int>"))
     roots = F.transform(lengths, lambda n: F.substring(F.col("word"), F.lit(1), n))
     every = words.select(F.explode(F.concat(F.array(F.concat("word", F.lit("$"))), roots)).alias("pattern"), "toxic", "groups", "contexts")
     toxic = F.col("toxic") == 1
@@ -188,19 +193,21 @@ def fit_curve(x: np.ndarray, y: np.ndarray, steps: int = 60) -> tuple[float, flo
     return tuple(map(float, w))
 
 
-def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Model:
-    """A model from at most `sample` rows, which the caller has bounded or are taken by the hash of the text.
+def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Model:
+    """A model from at most `sample` rows, taken by a hash of id and text; rows that repeat both count once.
 
-    Rows without text or label are left out. The driver gets at most LEXICON patterns and two numbers a sample row.
+    Rows without text or label are left out. The hashes alone are put in order, and texts up to the last one taken stay where
+    they are. The driver gets the patterns that enough of the sample supports, and two numbers a sample row.
     """
-    rows = labelled.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"))
-    rows = stored(rows.orderBy(F.xxhash64("text"), "text").limit(sample), "toxicity-sample")
+    rows = labelled.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"), F.xxhash64(id_col, text_col).alias("at"))
+    last = rows.select("at").distinct().orderBy("at").limit(sample).agg(F.max("at").alias("at")).first()["at"]
+    rows = stored(rows.where(F.col("at") <= F.lit(last)).dropDuplicates(["at"]).select("text", "label"), "toxicity-sample")
     totals = {r.label: r.n for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = totals.get(1, 0), totals.get(0, 0)
     if not n_toxic or not n_clean:
         return Model()
     supported = _patterns(rows).where((F.col("toxic") >= LEAST_GROUPS) & (F.col("contexts") >= LEAST_GROUPS) & (F.col("toxic") * n_clean > 10 * F.col("clean") * n_toxic))
-    found = supported.orderBy(F.desc("toxic"), "pattern").limit(LEXICON).collect()
+    found = supported.collect()
     model = Model(choose_terms([(r.pattern, r.toxic, r.clean) for r in found], n_toxic, n_clean))
     model.exceptions = _learn_exceptions(rows, model)
     x, y = _sample_features(rows, model)
@@ -208,7 +215,7 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", s
     return model
 
 
-def _learn_exceptions(rows: DataFrame, model: Model, least: int = 5, most: int = 2000) -> tuple[str, ...]:
+def _learn_exceptions(rows: DataFrame, model: Model, least: int = 5) -> tuple[str, ...]:
     """Phrases around a term that at least `least` clean texts have and no toxic one."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,7 +229,7 @@ def _learn_exceptions(rows: DataFrame, model: Model, least: int = 5, most: int =
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([seen[k] for k in keys], pa.int64())], ["phrase", "label", "n"])
 
     both = rows.mapInArrow(count, "phrase string, label int, n long").groupBy("phrase").agg(F.sum(F.col("n") * F.col("label")).alias("toxic"), F.sum("n").alias("n"))
-    return tuple(r.phrase for r in both.where((F.col("toxic") == 0) & (F.col("n") >= least)).orderBy(F.desc("n"), "phrase").limit(most).collect())
+    return tuple(r.phrase for r in both.where((F.col("toxic") == 0) & (F.col("n") >= least)).orderBy("phrase").collect())
 
 
 def _sample_features(rows: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:

@@ -427,3 +427,20 @@ def test_plan_is_near_the_dual_bound(shape):
     assert bound >= (hist * np.arange(1025)).sum() / 1024 - 1e-6
     n = sum(t for _, t in packing.plan(hist))
     assert bound <= n + 1e-6 and n <= bound * 1.01 + 1
+
+
+def test_toxic_hits_see_their_whole_neighbours():
+    long = "x" * 200
+    folded = f"{long} ... {'- ' * 60} bad {'. ' * 60} {long}"
+    at = folded.index("bad")
+    assert toxicity.phrases(folded, at, at + 3) == [f"{long} bad", f"bad {long}"]
+    assert toxicity.phrases("bad", 0, 3) == []
+
+
+def test_toxicity_learns_long_words_and_any_number_of_exceptions(spark):
+    word = "rude" * 15
+    other = [f"term{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(30)]
+    rows = [(k, f"{other[k]} you {word} {other[(k * 7 + 1) % 30]} go {other[(k * 11 + 5) % 30]}", 1) for k in range(30)]
+    rows += [(100 + k, f"{other[k % 30]} some {other[(k * 7 + 3) % 30]} plain {other[(k * 13 + 1) % 30]} words", 0) for k in range(90)]
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    assert any(word.startswith(p.rstrip("$")) for p in model.terms)

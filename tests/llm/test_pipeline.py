@@ -101,3 +101,19 @@ def test_stages_keep_columns_and_take_edges(spark):
                 assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "ngram_jaccard_join", "mixing", "best_fit_packing"]
     assert mixing.MOST == 2.0
+
+
+CLASHING = ["score", "lang_pred", "kept", "held_out", "id", "tie", "plan_id", "plan_tie", "copies", "copy", "key", "bucket", "chain", "text_sha256", "keep_id", "group_size", "_keep_id", "_sha", "_id", "_tie", "_copies", "_copy", "_text", "_at",
+            "component_id", "n_shingles", "digest", "size", "rep", "a.b", "at", "label", "piece", "length", "rank", "own", "base", "sequence_id"]
+
+
+def test_stages_bear_columns_of_any_name(spark):
+    rows = [(k, f"some words of text number {k % 3} that are long enough to be known", "en", "a", 1, *([k] * len(CLASHING))) for k in range(6)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "lang", "source", "n_chars", *CLASHING])
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, "")
+        assert got.count() > 0
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert got.columns == docs.columns
+            assert all(r[5] == r[0] for r in got.collect())
+            docs = got
