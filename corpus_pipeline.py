@@ -6,31 +6,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratapoint.llm import exact_dedup, language_id, mixing, ngram_join, packing, queries
-from stratapoint.llm.shared import stored
+from stratapoint.llm.shared import quoted, stored
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter and those unlike every language (no positive cosine); prototypes come from all labelled ones."""
-    names = docs.columns
-    prototypes = language_id.fit(docs)
-    judged = language_id.identify(docs.select("*", F.col("doc_id").alias("_at")), prototypes, id_col="_at", keep=tuple(names))
+    judged = language_id.judge(docs, language_id.fit(docs), keep=tuple(docs.columns))
     known = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") > 0)
-    return judged.where(known).select(*names)
+    return judged.where(known).select("kept.*")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the largest id of equal texts."""
-    return exact_dedup.drop_copies(docs).select(*docs.columns)
+    return exact_dedup.drop_copies(docs).select(*[quoted(c) for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the smallest id of each component of similar ones."""
-    return ngram_join.drop_near_duplicates(docs).select(*docs.columns)
+    return ngram_join.drop_near_duplicates(docs).select(*[quoted(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats and leaves out documents so that sources come near their targets; copies are rows of their own."""
-    return mixing.mixed(docs).select(*docs.columns)
+    return mixing.mixed(docs).select(*[quoted(c) for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
