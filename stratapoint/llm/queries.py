@@ -18,7 +18,7 @@ def _crc(modulus: int):
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.find_copies(table(spark, sf_dir, "documents"))
+    return exact_dedup.find_copies(table(spark, sf_dir, "documents")).drop("bucket", "chain")
 
 
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,7 +54,7 @@ def test_small_buckets_give_the_same_answer(spark):
     rows = [(k, f"text {k % 70}", "en", "a") for k in range(300)]
     few, many = (exact_dedup.find_copies(docs_of(spark, rows), capacity=c).orderBy("doc_id").collect() for c in (1, 4096))
     assert few == many
-    assert exact_dedup.build_index(docs_of(spark, rows), capacity=1).select("bucket").distinct().count() > 30
+    assert exact_dedup.build_index(docs_of(spark, rows), capacity=1).entries.select("bucket").distinct().count() > 30
 
 
 # 2: html
@@ -444,3 +444,17 @@ def test_toxicity_learns_long_words_and_any_number_of_exceptions(spark):
     rows += [(100 + k, f"{other[k % 30]} some {other[(k * 7 + 3) % 30]} plain {other[(k * 13 + 1) % 30]} words", 0) for k in range(90)]
     model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
     assert any(word.startswith(p.rstrip("$")) for p in model.terms)
+
+
+def test_copies_with_colliding_keys_and_hot_texts(spark, monkeypatch):
+    rows = [(k, ["hot", "cold", "x", "y"][0 if k % 3 else k % 4], "en", "a") for k in range(300)]
+    plain = exact_dedup.find_copies(docs_of(spark, rows)).drop("bucket", "chain").orderBy("doc_id").collect()
+    parts = exact_dedup.find_copies(docs_of(spark, rows), many=7).drop("bucket", "chain").orderBy("doc_id").collect()
+    assert plain == parts and len(plain) == 300
+    monkeypatch.setattr(exact_dedup, "HOT", 0)
+    assert exact_dedup.find_copies(docs_of(spark, rows), many=7).drop("bucket", "chain").orderBy("doc_id").collect() == plain
+    keyed = exact_dedup._keyed
+    monkeypatch.setattr(exact_dedup, "_keyed", lambda *a: keyed(*a).withColumn("key", F.lit(5).cast("long")))
+    same = exact_dedup.find_copies(docs_of(spark, rows)).orderBy("doc_id").collect()
+    assert [r[:5] for r in same] == [tuple(r) for r in plain] and {r.chain for r in same} == {0, 1, 2, 3}
+    assert len({r.bucket for r in same}) == 1
