@@ -277,7 +277,8 @@ def rasterize(spark, vertices: DataFrame, xmin: float, ymax: float, cell: float,
 
 
 def _touched(seg: DataFrame, xmin: float, ymax: float, cell: float, rows: int, cols: int) -> DataFrame:
-    """Cells that segments pass: between neighbouring crossings with the lines of the raster a segment lies in one cell."""
+    """Cells that segments pass: between neighbouring crossings with the lines of the raster a segment lies in one cell. Where it
+    passes a corner of cells, two crossings may differ by rounding; such a part counts for none."""
     px = lambda a: (F.col(a) - xmin) / cell
     py = lambda a: (F.lit(ymax) - F.col(a)) / cell
     s = seg.withColumns({"ax": px("x1"), "bx": px("x2"), "ay": py("y1"), "by": py("y2")})
@@ -285,7 +286,7 @@ def _touched(seg: DataFrame, xmin: float, ymax: float, cell: float, rows: int, c
         F.floor(F.greatest(a, b)) > F.floor(F.least(a, b)), F.transform(F.sequence(F.floor(F.least(a, b)) + 1, F.floor(F.greatest(a, b))), lambda g: F.try_divide(g - a, b - a))
     ).otherwise(F.array().cast("array<double>"))
     ts = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), cuts(F.col("ax"), F.col("bx")), cuts(F.col("ay"), F.col("by")))))
-    parts = s.withColumn("ts", ts).withColumn("k", F.explode(F.sequence(F.lit(1), F.size("ts") - 1))).withColumn("t", (F.col("ts")[F.col("k") - 1] + F.col("ts")[F.col("k")]) / 2)
+    parts = s.withColumn("ts", ts).withColumn("k", F.explode(F.sequence(F.lit(1), F.size("ts") - 1))).where(F.col("ts")[F.col("k")] - F.col("ts")[F.col("k") - 1] > 1e-9).withColumn("t", (F.col("ts")[F.col("k") - 1] + F.col("ts")[F.col("k")]) / 2)
     out = parts.withColumns({"row": F.floor(F.col("ay") + F.col("t") * (F.col("by") - F.col("ay"))).cast("int"), "col": F.floor(F.col("ax") + F.col("t") * (F.col("bx") - F.col("ax"))).cast("int")})
     return out.where(F.col("row").between(0, rows - 1) & F.col("col").between(0, cols - 1))
 

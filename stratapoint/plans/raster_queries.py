@@ -12,7 +12,7 @@ from ..operators import focal, geometry, raster, regions
 from ..operators import points as P
 from . import derived as D
 from .derived import sql
-from .point_queries import _RAY
+from .point_queries import _RAY, _SPIKE, _around_sql
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -208,14 +208,26 @@ def rasterize_polygons(s, d):
     return raster.rasterize(s, D.polygons(s), D.X0, D.Y1, 5.0, 40, 40)
 
 
-@query("rasterize_all_touched")
+def _touched_sql(name: str) -> str:
+    """Segments of a feature table clipped to each 5 m cell of their box: sid, z1, z2, row, col and the middle t of what is left."""
+    return f"""sg AS (SELECT *, row_number() OVER () AS sid FROM (SELECT feat_id, z AS z1, lead(z) OVER w AS z2, (x - {D.X0}::DOUBLE) / 5 AS ax, ({D.Y1}::DOUBLE - y) / 5 AS ay,
+  (lead(x) OVER w - {D.X0}::DOUBLE) / 5 AS bx, ({D.Y1}::DOUBLE - lead(y) OVER w) / 5 AS yb FROM {name} WINDOW w AS (PARTITION BY feat_id, ring ORDER BY seq)) WHERE bx IS NOT NULL),
+ cells AS (SELECT r::INT AS row, q::INT AS col FROM range(40) a(r), range(40) b(q)),
+ cl AS (SELECT sg.*, row, col, greatest(0, CASE WHEN bx = ax THEN CASE WHEN floor(ax) = col THEN 0 ELSE 2 END ELSE least((col - ax) / (bx - ax), (col + 1 - ax) / (bx - ax)) END,
+   CASE WHEN yb = ay THEN CASE WHEN floor(ay) = row THEN 0 ELSE 2 END ELSE least((row - ay) / (yb - ay), (row + 1 - ay) / (yb - ay)) END) AS t0,
+  least(1, CASE WHEN bx = ax THEN 1 ELSE greatest((col - ax) / (bx - ax), (col + 1 - ax) / (bx - ax)) END, CASE WHEN yb = ay THEN 1 ELSE greatest((row - ay) / (yb - ay), (row + 1 - ay) / (yb - ay)) END) AS t1
+  FROM sg JOIN cells ON col BETWEEN floor(least(ax, bx)) AND floor(greatest(ax, bx)) AND row BETWEEN floor(least(ay, yb)) AND floor(greatest(ay, yb))),
+ touched AS (SELECT *, (t0 + t1) / 2 AS t FROM cl WHERE t1 - t0 > 1e-9)"""
+
+
+@query("rasterize_all_touched", "WITH " + _CENTRES + ",\n" + D.SQL["polygons"] + ",\n" + _RAY + ",\n" + _touched_sql("polygons") + " SELECT feat_id, (k // 1000)::INT AS row, (k % 1000)::INT AS col FROM hit UNION SELECT feat_id, row, col FROM touched")
 def rasterize_all_touched(s, d):
     return raster.rasterize(s, D.polygons(s), D.X0, D.Y1, 5.0, 40, 40, all_touched=True)
 
 
-@query("burn_3d_lines")
+@query("burn_3d_lines", "WITH " + D.SQL["lines"] + ",\n" + _touched_sql("lines") + " SELECT row, col, round(avg(z1 + t * (z2 - z1)), 6) AS value FROM touched GROUP BY 1, 2")
 def burn_3d_lines(s, d):
-    return raster.burn_lines(D.lines(s), D.X0, D.Y1, 5.0, 40, 40)
+    return raster.burn_lines(D.lines(s), D.X0, D.Y1, 5.0, 40, 40).withColumn("value", F.round("value", 6))
 
 
 _COMP = """, m AS (SELECT row, col FROM g WHERE value > 30), r(row, col, root) AS (SELECT row, col, row * 100 + col FROM m UNION
@@ -228,7 +240,11 @@ def connected_components(s, d):
     return regions.label(square(s, d).where("value > 30").select("row", "col"))
 
 
-@query("expand_water")
+@query("expand_water", _grid_sql("").rstrip().replace("WITH ", "WITH RECURSIVE ", 1) + """, m AS (SELECT row, col FROM g WHERE value > 30), w AS (SELECT row, col FROM g WHERE col < 8 AND value > 29),
+r(row, col, root) AS (SELECT row, col, row * 100 + col FROM m UNION SELECT n.row, n.col, r.root FROM r JOIN m n ON abs(n.row - r.row) + abs(n.col - r.col) = 1),
+lab AS (SELECT row, col, min(root) AS label FROM r GROUP BY 1, 2), wet AS (SELECT lab.*, (row, col) IN (SELECT (row, col) FROM w) AS inw FROM lab),
+mixed AS (SELECT label FROM wet GROUP BY 1 HAVING bool_or(inw) AND NOT bool_and(inw))
+SELECT row, col FROM w UNION SELECT row, col FROM lab WHERE label IN (SELECT label FROM mixed)""")
 def expand_water(s, d):
     g = square(s, d)
     return regions.expand_water(g.where("value > 30").select("row", "col"), g.where("col < 8 and value > 29").select("row", "col"))
@@ -281,14 +297,21 @@ def point_distance(s, d):
     return focal.distance_filter(centres, ground, 4.0, ["row", "col", "x", "y"]).select("row", "col", F.round("value", 9).alias("value"))
 
 
-@query("pointcloud_diff")
+_W2 = "greatest((n.x - q.x) * (n.x - q.x) + (n.y - q.y) * (n.y - q.y), 1e-8)"
+
+
+@query("pointcloud_diff", sql(f"""SELECT m.row, m.col, round(avg(a.z), 6) AS value FROM (SELECT r::INT AS row, c::INT AS col, {D.X0}::DOUBLE + (c + 0.5) * 10 AS x, {D.Y1}::DOUBLE - (r + 0.5) * 10 AS y FROM range(20) a(r), range(20) b(c)) m
+ LEFT JOIN (SELECT q.k, q.x, q.y, sum(n.z / {_W2}) / sum(1 / {_W2}) - q.z AS z FROM (SELECT *, floor(x / 2)::INT AS gx, floor(y / 2)::INT AS gy FROM points_old) q
+  JOIN (SELECT x, y, z, floor(x / 2)::INT + i AS gx, floor(y / 2)::INT + j AS gy FROM points, range(-1, 2) a(i), range(-1, 2) b(j)) n
+  ON q.gx = n.gx AND q.gy = n.gy AND (n.x - q.x) * (n.x - q.x) + (n.y - q.y) * (n.y - q.y) <= 4 GROUP BY q.k, q.x, q.y, q.z, q.c, q.pid, q.rn) a
+ ON (a.x - m.x) * (a.x - m.x) + (a.y - m.y) * (a.y - m.y) <= 36 GROUP BY 1, 2""", "points", "points_old"))
 def pointcloud_diff(s, d):
     """Height of the new cloud (inverse distance, 2 m) less the old one's at its points; means within 6 m of 10 m cells."""
     old = D.points_old(s, d).select("k", "x", "y", "z", "c", "pid", "rn")
     at_old = focal.idw_filter(old, D.points(s, d).select("x", "y", "z"), 2.0, old.columns)
     dz = at_old.where("value is not null").select("x", "y", (F.col("value") - F.col("z")).alias("z"))
     centres = raster.mesh_points(raster.mesh(s, SIDE, SIDE), D.X0, D.Y1, 10.0)
-    return focal.mean_filter(centres, dz, 6.0, ["row", "col", "x", "y"]).select("row", "col", "value")
+    return focal.mean_filter(centres, dz, 6.0, ["row", "col", "x", "y"]).select("row", "col", F.round("value", 6).alias("value"))
 
 
 @query("las2polygons")
@@ -364,12 +387,15 @@ def road_node_outliers(s, d):
     return got.where("abs(dz) >= 1").select("feat_id", "seq", F.round("dz", 6).alias("dz"))
 
 
-@query("spike_check")
+_GROUND = _around_sql(_SPIKE, 1.5).replace("FROM points) q", "FROM points WHERE c = 2) q").replace("FROM points, range", "FROM (SELECT * FROM points WHERE c = 2), range")
+
+
+@query("spike_check", f"SELECT 1.5::DOUBLE AS filter_rad, value AS mean_dz, x, y, z, c, pid FROM ({_GROUND}) WHERE value <> 0")
 def spike_check(s, d):
     key = ["k", "x", "y", "z", "c", "pid", "rn"]
     ground = P.cut_to_class(D.points(s, d), 2).select(*key)
     got = focal.spike_filter(ground, ground.select("x", "y", "z"), 1.5, math.tan(math.radians(25)) ** 2, 0.1, key)
-    return got.where("value <> 0").select(F.lit(1.5).alias("filter_rad"), F.col("value").alias("mean_dz"), "x", "y", "z", "c", "pid")
+    return got.where("value <> 0").select(F.lit(1.5).alias("filter_rad"), F.round("value", 9).alias("mean_dz"), "x", "y", "z", "c", "pid")
 
 
 @query("colorize", sql(f"SELECT k, x, y, z, (p.r0 % 256)::INT AS r, (p.c0 % 256)::INT AS g, ((p.r0 + p.c0) % 256)::INT AS b FROM (SELECT *, floor(({D.Y1}::DOUBLE - y) / 2)::INT AS r0, floor((x - {D.X0}::DOUBLE) / 2)::INT AS c0 FROM points) p WHERE r0 < 100", "points"))
@@ -380,6 +406,7 @@ def colorize(s, d):
     return placed.join(image, ["row", "col"]).select("k", "x", "y", "z", "r", "g", "b")
 
 
-@query("polygon_wkt")
+@query("polygon_wkt", "WITH " + D.SQL["polygons"] + """, ring AS (SELECT feat_id, ring, '(' || string_agg(format('{:.2f} {:.2f}', x, y), ',' ORDER BY seq) || ')' AS t FROM polygons GROUP BY 1, 2)
+SELECT feat_id, 'POLYGON(' || string_agg(t, ',' ORDER BY ring) || ')' AS wkt FROM ring GROUP BY 1""")
 def polygon_wkt(s, d):
     return geometry.polygon_wkt(D.polygons(s))

@@ -16,7 +16,7 @@ from . import derived as D
 from . import point_queries as Q
 from .derived import sql
 from .point_queries import _RAY
-from .raster_queries import square
+from .raster_queries import _grid_sql, square
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -131,7 +131,11 @@ def z_accuracy(s, d):
 @query("z_accuracy_gcp")
 def z_accuracy_gcp(s, d):
     """Height of the surface of the points around each control point, less its own; slope and size there."""
-    around = elevation.beside(P.cut_to_class(D.points(s, d), [2, 9, 17]), D.gcps(s), 30.0)
+    return _gcps(s, D.points(s, d))
+
+
+def _gcps(s, points):
+    around = elevation.beside(P.cut_to_class(points, [2, 9, 17]), D.gcps(s), 30.0)
     got = tin.geometry(tin.over(D.gcps(s), around, ["id", "x", "y", "z"], prune=True))
     return got.select("id", "z", (tin.height() - F.col("z")).alias("dz"), F.degrees(F.atan(F.sqrt("tan2"))).alias("t_angle"), F.col("xy_size").alias("t_size"))
 
@@ -139,16 +143,24 @@ def z_accuracy_gcp(s, d):
 REACH = 2.0 + 2 * 12.0  # how far from a feature points can shape the surface over it: its buffer, and a circle as wide as the halo allows
 
 
-def _roads(s, d, classes=ALL, tolerances=LOOSE):
-    p = D.points(s, d).select("pid", "x", "y", "z", "c")
-    around = geometry.points_near_lines(p, D.lines(s), REACH).drop("feat_id").distinct()
-    return elevation.precision(elevation.near_lines(p, D.lines(s), classes, 2.0), elevation.strip_points(around, classes), tolerances)
+def _by_roads(p, lines, classes):
+    """Points near lines, and those that can shape a surface there."""
+    return elevation.near_lines(p, lines, classes, 2.0), geometry.points_near_lines(p, lines, REACH).drop("feat_id").distinct()
 
 
-def _houses(s, d, classes=ALL, tolerances=LOOSE):
-    p, houses = D.points(s, d).select("pid", "x", "y", "z", "c"), D.polygons(s).where("ptype = 'building'")
+def _in_houses(p, houses, classes):
     inside = elevation.near_polygons(p, houses, classes)
     around = inside.unionByName(geometry.points_near_lines(p, houses.select("feat_id", "ring", "seq", "x", "y"), REACH)).drop("feat_id").distinct()
+    return inside, around
+
+
+def _roads(s, d, classes=ALL, tolerances=LOOSE):
+    near, around = _by_roads(D.points(s, d).select("pid", "x", "y", "z", "c"), D.lines(s), classes)
+    return elevation.precision(near, elevation.strip_points(around, classes), tolerances)
+
+
+def _houses(s, d, classes=ALL, tolerances=LOOSE):
+    inside, around = _in_houses(D.points(s, d).select("pid", "x", "y", "z", "c"), D.polygons(s).where("ptype = 'building'"), classes)
     return elevation.precision(inside, elevation.strip_points(around, classes), tolerances)
 
 
@@ -162,6 +174,94 @@ def z_precision_buildings(s, d):
     return _houses(s, d)
 
 
+# The same operators on points laid on a plane, each strip half a metre above the one before: what they must find is known.
+
+PLANE = "20 + 0.25 * (x - 632900) + 0.125 * (y - 6173900)"
+
+
+def on_plane(points: DataFrame, by_strip: float = 0.5) -> DataFrame:
+    return points.withColumn("z", F.expr(PLANE) + by_strip * F.col("pid"))
+
+
+@query("interpolate_plane", sql(f"SELECT k, x, y, c, pid, rn, round({PLANE}, 6) AS h FROM points WHERE c = 5 AND x BETWEEN 632920 AND 633080 AND y BETWEEN 6173920 AND 6174080", "points"))
+def interpolate_plane(s, d):
+    """A surface over points of a plane gives the plane back, away from the hull."""
+    key = ["k", "x", "y", "c", "pid", "rn"]
+    asked = P.cut_to_class(D.points(s, d), 5).where("x between 632920 and 633080 and y between 6173920 and 6174080").select(*key)
+    return tin.heights(asked, on_plane(ground(s, d).withColumn("pid", F.lit(0))), key).withColumn("h", F.round("h", 6))
+
+
+@query("locate_plane", ORACLES["interpolate_plane"])
+def locate_plane(s, d):
+    """The same by triangles that are kept, and a lookup in them."""
+    key = ["k", "x", "y", "c", "pid", "rn"]
+    asked = P.cut_to_class(D.points(s, d), 5).where("x between 632920 and 633080 and y between 6173920 and 6174080").select(*key)
+    surface = tin.triangulate(on_plane(ground(s, d).withColumn("pid", F.lit(0))).select("x", "y", "z"))
+    return tin.interpolate(asked, surface, key).select(*key, F.round("h", 6).alias("h"))
+
+
+@query("tin_empty_circles", sql("SELECT count(*) AS n_points, 0::BIGINT AS n_unused, 0::BIGINT AS n_inside FROM (SELECT DISTINCT x, y FROM points WHERE c = 2 AND x BETWEEN 632940 AND 633060 AND y BETWEEN 6173940 AND 6174060)", "points"))
+def tin_empty_circles(s, d):
+    """Away from the hull: points, those that no triangle uses, and points strictly inside a triangle's circle (both none; circles
+    that surely lie within the halo)."""
+    inner = "x between 632940 and 633060 and y between 6173940 and 6174060"
+    t = tin.triangulate(ground(s, d))
+    points = ground(s, d).select("x", "y").distinct()
+    corners = t.select(F.explode(F.array(*[F.struct(F.col(f"x{k}").alias("x"), F.col(f"y{k}").alias("y")) for k in range(3)])).alias("v")).select("v.*").distinct()
+    bx, by, cx, cy = (F.col(f"{a}{k}") - F.col(f"{a}0") for k in (1, 2) for a in "xy")
+    det = 2 * (bx * cy - by * cx)
+    ux, uy = (cy * (bx * bx + by * by) - by * (cx * cx + cy * cy)) / det, (bx * (cx * cx + cy * cy) - cx * (bx * bx + by * by)) / det
+    circles = t.select((F.col("x0") + ux).alias("ox"), (F.col("y0") + uy).alias("oy"), F.sqrt(ux * ux + uy * uy).alias("r")).where("ox between 632940 and 633060 and oy between 6173940 and 6174060 and r < 6")
+    cells = geometry.to_cells(circles, F.col("ox") - F.col("r"), F.col("oy") - F.col("r"), F.col("ox") + F.col("r"), F.col("oy") + F.col("r"), 10.0)
+    keyed = points.withColumns({"gx": F.floor(F.col("x") / 10).cast("int"), "gy": F.floor(F.col("y") / 10).cast("int")})
+    inside = cells.join(keyed, ["gx", "gy"]).where("(x - ox) * (x - ox) + (y - oy) * (y - oy) < r * r - 1e-6").agg(F.count(F.lit(1)).alias("n_inside"))
+    mine = points.where(inner)
+    return mine.agg(F.count(F.lit(1)).alias("n_points")).crossJoin(mine.join(corners, ["x", "y"], "left_anti").agg(F.count(F.lit(1)).alias("n_unused"))).crossJoin(inside)  # a row each
+
+
+_BOTH = "(SELECT DISTINCT a.pid AS id1, b.pid AS id2 FROM (SELECT DISTINCT pid FROM points) a JOIN (SELECT DISTINCT pid FROM points) b ON a.pid <> b.pid)"
+
+
+def _differences(near: DataFrame, ground: DataFrame) -> DataFrame:
+    """Before trimming, which leaves nothing of equal differences: their least and greatest by feature and ordered pair of strips."""
+    dz = elevation.strip_differences(near, ground, LOOSE)
+    return dz.groupBy("feat_id", "id1", "id2").agg(F.round(F.min("dz"), 6).alias("least"), F.round(F.max("dz"), 6).alias("greatest"))
+
+
+@query("strip_differences_roads_plane", sql(f"SELECT DISTINCT feat_id, id1, id2, 0.5 * (id1 - id2) AS least, 0.5 * (id1 - id2) AS greatest FROM lines, {_BOTH}", "points", "lines"))
+def strip_differences_roads_plane(s, d):
+    near, around = _by_roads(on_plane(D.points(s, d).select("pid", "x", "y", "z", "c")), D.lines(s), ALL)
+    return _differences(near, elevation.strip_points(around, ALL))
+
+
+@query("strip_differences_buildings_plane", sql(f"SELECT DISTINCT feat_id, id1, id2, 0.5 * (id1 - id2) AS least, 0.5 * (id1 - id2) AS greatest FROM polygons, {_BOTH} WHERE ptype = 'building'", "points", "polygons"))
+def strip_differences_buildings_plane(s, d):
+    near, around = _in_houses(on_plane(D.points(s, d).select("pid", "x", "y", "z", "c")), D.polygons(s).where("ptype = 'building'"), ALL)
+    return _differences(near, elevation.strip_points(around, ALL))
+
+
+@query("v_tile_z_precision_plane", sql(f"""SELECT tilename, avg(id2 - id1) / 2 AS abs_avg12, avg(id2 - id1) / 2 AS abs_avg21, 0.0::DOUBLE AS sigma12, 0.0::DOUBLE AS sigma21
+ FROM (SELECT * FROM {_BOTH} WHERE id1 < id2), (SELECT feat_id, '1km_' || floor(y / 1000)::BIGINT || '_' || floor(x / 1000)::BIGINT AS tilename FROM lines WHERE seq = 0) GROUP BY 1""", "points", "lines"))
+def v_tile_z_precision_plane(s, d):
+    """The view by tile over the differences' means."""
+    found = strip_differences_roads_plane(s, d)
+    back = found.select("feat_id", F.col("id2").alias("id1"), F.col("id1").alias("id2"), F.col("least").alias("mean21"))
+    report = found.where("id1 < id2").withColumnRenamed("least", "mean12").join(back, ["feat_id", "id1", "id2"])
+    return _tile_view(report.withColumns({"sigma12": F.lit(0.0), "sigma21": F.lit(0.0)}), D.lines(s))
+
+
+@query("z_accuracy_plane", sql(f"SELECT feat_id, pid, round(avg({PLANE} + 0.5 * pid - z), 6) AS mean, count(*) AS npoints FROM (SELECT feat_id, x, y, z FROM lines WHERE x BETWEEN 632920 AND 633080 AND y BETWEEN 6173920 AND 6174080), (SELECT DISTINCT pid FROM points) GROUP BY 1, 2", "points", "lines"))
+def z_accuracy_plane(s, d):
+    inner = D.lines(s).where("x between 632920 and 633080 and y between 6173920 and 6174080")
+    around = elevation.beside(D.points(s, d), inner)
+    return elevation.accuracy(inner, elevation.strip_points(on_plane(around), ALL), (89.0, 100.0, 100.0)).select("feat_id", "pid", F.round("mean", 6).alias("mean"), "npoints")
+
+
+@query("z_accuracy_gcp_plane", "WITH " + D.SQL["gcps"] + f" SELECT id, z, round({PLANE} - z, 6) AS dz, round(degrees(atan(sqrt(0.25 * 0.25 + 0.125 * 0.125))), 6) AS t_angle FROM gcps")
+def z_accuracy_gcp_plane(s, d):
+    return _gcps(s, on_plane(D.points(s, d), 0.0)).select("id", "z", F.round("dz", 6).alias("dz"), F.round("t_angle", 6).alias("t_angle"))
+
+
 def sea(s: SparkSession) -> DataFrame:
     """A sea along the east of the extent, a little above the lowest derived heights (SEA_Z)."""
     at = [(633070.0, 6173905.0), (633099.0, 6173905.0), (633099.0, 6173975.0), (633080.0, 6173970.0), (633070.0, 6173905.0)]
@@ -253,10 +353,24 @@ def xy_precision_buildings(s, d):
 # Corrections burned into a terrain model
 
 
-@query("burn_horse_shoes")
+SHOE = np.array([(632950.0, 6173950.0), (632990.0, 6173955.0), (632992.0, 6174020.0), (632948.0, 6174015.0)])
+
+
+def _patch_sql(corners: np.ndarray, low: float, high: float) -> str:
+    """The grid g with a patch burned."""
+    (ax, ay), (bx, by), (cx, cy), (dx, dy) = corners - corners[0]
+    x, y = f"({D.X0} + (col + 0.5) * 10 - {corners[0][0]})", f"({D.Y1} - (row + 0.5) * 10 - {corners[0][1]})"
+    # a projective map is fixed by its four corners: solved from the eight equations, apart from the operator's closed form
+    rows = [[*e] for (px, py), (u, v) in zip(((ax, ay), (bx, by), (cx, cy), (dx, dy)), ((0, 0), (1, 0), (1, 1), (0, 1)), strict=True) for e in ((px, py, 1, 0, 0, 0, -u * px, -u * py), (0, 0, 0, px, py, 1, -v * px, -v * py))]
+    h = np.linalg.solve(np.array(rows, float), np.array([0, 0, 1, 0, 1, 1, 0, 1], float))
+    w = f"({h[6]}::DOUBLE * {x} + {h[7]}::DOUBLE * {y} + 1)"
+    u, v = (f"(({h[3 * k]}::DOUBLE * {x} + {h[3 * k + 1]}::DOUBLE * {y} + {h[3 * k + 2]}::DOUBLE) / {w})" for k in (0, 1))
+    return f"SELECT row, col, round(CASE WHEN {u} BETWEEN 0 AND 1 AND {v} BETWEEN 0 AND 1 THEN least(value, {low} + {high - low} * {v}) ELSE value END, 6) AS value FROM g"
+
+
+@query("burn_horse_shoes", _grid_sql(_patch_sql(SHOE, 20.0, 24.0)))
 def burn_horse_shoes(s, d):
-    corners = np.array([(632950.0, 6173950.0), (632990.0, 6173955.0), (632992.0, 6174020.0), (632948.0, 6174015.0)])
-    return buildings.burn_patch(square(s, d), corners, (20.0, 24.0), D.X0, D.Y1, 10.0)
+    return buildings.burn_patch(square(s, d), SHOE, (20.0, 24.0), D.X0, D.Y1, 10.0).withColumn("value", F.round("value", 6))
 
 
 @query("burn_horse_shoes_lines")
@@ -273,12 +387,22 @@ def burn_baby_burn(s, d):
     return raster.burn(patch, lines, F.least(F.col("value"), F.col("low")))
 
 
-@query("reproject")
+_N = (1 / 298.257222101) / (2 - 1 / 298.257222101)
+_R = 0.9996 * 6378137.0 / (1 + _N) * (1 + _N**2 / 4 + _N**4 / 64)
+_ALPHA = (_N / 2 - 2 * _N**2 / 3 + 5 * _N**3 / 16, 13 * _N**2 / 48 - 3 * _N**3 / 5, 61 * _N**3 / 240)
+_ECC = 2 * np.sqrt(_N) / (1 + _N)
+_UTM = sql(f"""SELECT k, round(500000 + {_R} * (eta + {" + ".join(f"{a} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, a in enumerate(_ALPHA, 1))}), 4) AS easting,
+ round({_R} * (xi + {" + ".join(f"{a} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, a in enumerate(_ALPHA, 1))}), 4) AS northing
+ FROM (SELECT k, atan2(t, cos(l)) AS xi, atanh(sin(l) / sqrt(1 + t * t)) AS eta FROM (SELECT k, l, sinh(atanh(sin(p)) - {_ECC} * atanh({_ECC} * sin(p))) AS t
+ FROM (SELECT k, radians(y / 111300) AS p, radians((x - 500000) / 63000) AS l FROM points)))""", "points")
+
+
+@query("reproject", _UTM)
 def reproject(s, d):
     """UTM coordinates of geographic ones (here: laid out from the tile coordinates)."""
     p = D.points(s, d).select("k", (9 + (F.col("x") - 500000) / 63000).alias("lon"), (F.col("y") / 111300).alias("lat"))
     e, n = buildings.utm(F.col("lon"), F.col("lat"))
-    return p.select("k", e.alias("easting"), n.alias("northing"))
+    return p.select("k", F.round(e, 4).alias("easting"), F.round(n, 4).alias("northing"))
 
 
 # Result views
