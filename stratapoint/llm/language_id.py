@@ -24,6 +24,7 @@ GRAM = 3
 SYMBOLS = 128  # 0: between words; a-z 1 to 26; others by a hash of the code point
 UNDETERMINED = "und"
 CHUNK = 1 << 18  # code points worked on at once
+HELD = 1 << 18  # counted n-grams that a task holds before it bundles them
 
 
 @lru_cache(maxsize=1)
@@ -86,11 +87,12 @@ def _chunks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
 def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, np.ndarray]:
     """Prototype of each language, from all rows of training with a text and a language.
 
-    Tasks count n-grams by language; the counts (at most SYMBOLS**3 for each language, whatever the input) are added
-    up with combining before the shuffle and bundled on the driver.
+    Tasks bundle the n-grams they count, a bounded number at a time, and give a vector for each language; these are whole
+    numbers, added up with combining before the shuffle. The driver gets DIM numbers for each language.
     """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             langs = batch.column(1).to_pylist()
@@ -98,24 +100,33 @@ def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
                 code, owner = _codes(run)
                 of = np.array([langs[start + k] for k in range(len(run))], object)
                 for lang in set(of):
-                    got = np.bincount(code[(of == lang)[owner]], minlength=SYMBOLS**3)
-                    sums[lang] = sums[lang] + got if lang in sums else got
-        for lang, got in sums.items():
-            grams = np.flatnonzero(got)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.int32()), pa.array(got[grams], pa.int64())], ["lang", "gram", "n"])
+                    held.setdefault(lang, []).append(np.unique(code[(of == lang)[owner]], return_counts=True))
+                if sum(len(c) for parts in held.values() for c, _ in parts) > HELD:
+                    _add_bundles(held, sums)
+        _add_bundles(held, sums)
+        for lang, vector in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * DIM, pa.string()), pa.array(range(DIM), pa.int32()), pa.array(vector)], ["lang", "dim", "n"])
 
     rows = training.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    counts = rows.mapInArrow(count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
+    totals = rows.mapInArrow(bundle, "lang string, dim int, n double").groupBy("lang", "dim").agg(F.sum("n").alias("n")).toPandas()
     prototypes = {}
-    for lang, part in counts.groupby("lang"):
-        vector = np.zeros(DIM)
-        for k in range(0, len(part), 4096):
-            piece = part.iloc[k : k + 4096]
-            vector += piece["n"].to_numpy(float) @ gram_vectors(piece["gram"].to_numpy(np.int64))
+    for lang, part in totals.groupby("lang"):
+        vector = part.sort_values("dim")["n"].to_numpy(float)
         prototypes[lang] = vector / max(np.linalg.norm(vector), 1e-12)
     return dict(sorted(prototypes.items()))
 
 
+def _add_bundles(held: dict[str, list[tuple[np.ndarray, np.ndarray]]], sums: dict[str, np.ndarray]) -> None:
+    """Bundles the counted n-grams of each language into its vector, and lets the counts go."""
+    for lang, parts in held.items():
+        codes, at = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+        n = np.bincount(at, np.concatenate([n for _, n in parts]), len(codes))
+        vector = sums.setdefault(lang, np.zeros(DIM))
+        for k in range(0, len(codes), 4096):
+            vector += n[k : k + 4096] @ gram_vectors(codes[k : k + 4096])
+    held.clear()
+
+
 def cosines(texts: list[str], prototypes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Cosine of each text's vector with each prototype; whether it has an n-gram."""
     code, owner = _codes(texts)
