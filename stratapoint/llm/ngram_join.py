@@ -35,7 +35,7 @@ _U = np.uint64
 
 ASK = pa.schema([("range", pa.int32()), ("bucket", pa.int32()), ("hashes", pa.binary()), ("n", pa.binary())])
 TOLD = pa.schema([("bucket", pa.int32()), ("range", pa.int32()), ("levels", pa.binary())])
-SET = pa.schema([("doc_id", pa.int64()), ("digest", pa.string()), ("size", pa.int64()), ("tokens", pa.list_(pa.int64())), ("ranks", pa.list_(pa.int32())), ("shared", pa.binary()), ("sketch", pa.binary())])
+SET = pa.schema([("doc_id", pa.int64()), ("digest", pa.string()), ("part", pa.int64()), ("size", pa.int64()), ("tokens", pa.list_(pa.int64())), ("ranks", pa.list_(pa.int32())), ("shared", pa.binary()), ("sketch", pa.binary())])
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -119,7 +119,8 @@ def _class_rows(table: pa.Table, told: pa.Table) -> tuple[pa.Table, list[str]]:
 
 
 def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """From doc_id and text (not null), a row for each class of equal texts: doc_id (the smallest), digest, size;
+    """From doc_id and text (not null), a row for each class of equal texts: doc_id (the smallest), digest, part (8 bytes
+    of the digest, which tell texts of one id apart), size;
     tokens and ranks of the part of its prefix that other classes have; shared: all shingles that others have."""
     lay = x.layout(docs)
     digest = F.md5("text")
@@ -134,26 +135,27 @@ def shingle_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     def choose(table: pa.Table, told: pa.Table) -> pa.Table:
         table, digests = _class_rows(table, told)
         if not table.num_rows:
-            return x.rows(SET, [[]] * 7)
+            return SET.empty_table()
         b = Bucket(table, lay, n)
         level = b.levels(told)
         out = []
         for k, doc_id in enumerate(table["doc_id"].to_pylist()):
             s = slice(b.first[k], b.first[k + 1])
             size, lv = s.stop - s.start, level[s]
+            part = int.from_bytes(bytes.fromhex(digests[k])[:8], "little", signed=True)
             p = prefix(size, percent) if size else 0
             alone = int((lv == 0).sum())
             if alone >= p:
-                out.append((doc_id, digests[k], size, [], [], None, None))
+                out.append((doc_id, digests[k], part, size, [], [], None, None))
                 continue
             order = np.lexsort((b.hashes[s], lv))[alone:p]
             shared = b.hashes[s][lv > 0]
-            out.append((doc_id, digests[k], size, b.hashes[s][order].view(np.int64), np.arange(alone, p), shared.tobytes(), sketch(b.hashes[s])))
+            out.append((doc_id, digests[k], part, size, b.hashes[s][order].view(np.int64), np.arange(alone, p), shared.tobytes(), sketch(b.hashes[s])))
         return x.rows(SET, list(zip(*out, strict=True)))
 
     asked = work.groupBy("bucket").cogroup(reps.groupBy("bucket")).applyInArrow(ask, x.ddl(ASK))
     told = asked.groupBy("range").applyInArrow(_answer, x.ddl(TOLD)).unionByName(reps)
-    schema = "doc_id long, digest string, size long, tokens array<long>, ranks array<int>, shared binary, sketch binary"
+    schema = "doc_id long, digest string, part long, size long, tokens array<long>, ranks array<int>, shared binary, sketch binary"
     return stored(work.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(choose, schema), "shingle-sets")
 
 
@@ -219,30 +221,32 @@ def _later_pairs(postings: DataFrame, sets: DataFrame, labels: DataFrame, percen
     lists = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("doc_id").alias("hub")).where("lo <> hi").select("token", "hub")
     members = stored(labelled.join(lists, "token"), "open-lists")
     sizes = members.groupBy("hub", "doc_id").agg(F.lit(1).alias("one")).groupBy("hub").agg(F.count("one").alias("n"))
-    sketches = sets.where("sketch is not null").groupBy("doc_id").agg(F.first("sketch").alias("sketch"))
-    members = members.join(sizes, "hub").join(sketches, "doc_id")
+    members = members.join(sizes, "hub").join(sets.where("sketch is not null").select("doc_id", "part", "sketch"), ["doc_id", "part"])
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     members = members.withColumn("own", F.pmod(F.xxhash64("doc_id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    members = members.select("hub", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "token", "doc_id", "size", "rank", "component", "n", "sketch")
+    members = members.select("hub", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "token", "doc_id", "part", "size", "rank", "component", "n", "sketch")
 
     def compare(group: pa.Table) -> pa.Table:
         group = group.sort_by([("token", "ascending")])
-        token, ids, size, rank, comp, own = (group[c].to_numpy() for c in ("token", "doc_id", "size", "rank", "component", "own"))
+        token, ids, part, size, rank, comp, own = (group[c].to_numpy() for c in ("token", "doc_id", "part", "size", "rank", "component", "own"))
         bits = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint64).reshape(len(ids), -1)
         i, j, n = group["i"][0].as_py(), group["j"][0].as_py(), group["n"][0].as_py()
+        by_text = np.lexsort((part, ids))  # an id may have several texts
+        new = np.r_[True, (np.diff(ids[by_text]) != 0) | (np.diff(part[by_text]) != 0)]
+        text = np.empty(len(ids), np.int64)
+        text[by_text] = np.cumsum(new) - 1
+        one, ends = by_text[new], np.r_[np.flatnonzero(new), len(ids)]  # a row of each text, and where its rows lie
         comps, count = np.unique(comp, return_counts=True)
         largest = comps[count.argmax()]
         if turn < HUB_ROUNDS and n > FEW:
-            some = np.unique(ids[own == i])
-            sides = [(some[np.argsort(mix(some.astype(_U) + _U(turn * 7919)), kind="stable")][:HUBS], j)]
+            some = np.flatnonzero(own[one] == i)
+            sides = [(some[np.argsort(mix(ids[one[some]].astype(_U) + _U(turn * 7919)), kind="stable")][:HUBS], j)]
         else:  # of two documents in different components, one is outside the largest
-            sides = [(np.unique(ids[(own == u) & (comp != largest)]), v) for u, v in {(i, j), (j, i)}]
-        by_id = np.argsort(ids, kind="stable")
+            sides = [(np.flatnonzero((own[one] == u) & (comp[one] != largest)), v) for u, v in {(i, j), (j, i)}]
         a_side, b_side = [], []
         for mine, other in sides:
-            starts, stops = np.searchsorted(ids, mine, sorter=by_id), np.searchsorted(ids, mine, side="right", sorter=by_id)
-            for doc, u, v in zip(mine, starts, stops, strict=True):
-                rows = by_id[u:v]
+            for t in mine:
+                rows = by_text[ends[t] : ends[t + 1]]
                 lo, hi = np.searchsorted(token, token[rows]), np.searchsorted(token, token[rows], side="right")
                 k = np.repeat(rows, hi - lo)
                 m = np.arange(len(k)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)
@@ -252,14 +256,13 @@ def _later_pairs(postings: DataFrame, sets: DataFrame, labels: DataFrame, percen
                 rank_low = np.where(size[m] < size[k], rank[m], np.where(size[m] > size[k], rank[k], np.minimum(rank[k], rank[m])))
                 need = -(-percent * (low + high) // (100 + percent))
                 most = np.minimum(size[k] - rank[k], size[m] - rank[m])
-                m = np.unique(ids[m[(low * 100 >= high * percent) & (rank_low < low - -(-2 * percent * low // (100 + percent)) + 1) & (most >= need)]])
-                if len(m):
-                    at = by_id[np.searchsorted(ids, m, sorter=by_id)]
+                at = one[np.unique(text[m[(low * 100 >= high * percent) & (rank_low < low - -(-2 * percent * low // (100 + percent)) + 1) & (most >= need)]])]
+                if len(at):
                     differ = np.bitwise_count(bits[at] ^ bits[rows[0]]).sum(axis=1)
                     total = size[at] + size[rows[0]]
-                    m = m[differ <= total - 2 * -(-percent * total // (100 + percent))]
-                a_side.append(np.minimum(m, doc))
-                b_side.append(np.maximum(m, doc))
+                    at = at[differ <= total - 2 * -(-percent * total // (100 + percent))]
+                a_side.append(np.minimum(ids[at], ids[rows[0]]))
+                b_side.append(np.maximum(ids[at], ids[rows[0]]))
         if not a_side:
             return PAIR.empty_table()
         pairs = np.unique(np.stack([np.concatenate(a_side), np.concatenate(b_side)], axis=1), axis=0)
@@ -273,14 +276,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Texts are compared in lower case (A-Z). Rows with equal texts are one class, represented by the smallest id, and
     joined once. A text under n words is one shingle; without words it has none and links with nothing. Null texts
-    count as empty. Rows with a null id link with nothing and have a null component. Rows that repeat an id are one
-    document if their texts are equal; else each of its texts can link the id. Long texts are read whole.
+    count as empty. Rows with a null id link with nothing and have a null component. Rows that repeat an id with
+    different texts are judged by their own texts; texts whose smallest id is the same link that id. Long texts are
+    read whole.
     """
+    return _by_row(docs, id_col, text_col, n, percent).drop("digest")
+
+
+def _by_row(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
+    """near_duplicates with the digest of each row's text."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     keyed = rows.select("doc_id", F.md5("text").alias("digest"))
     sets = shingle_sets(rows, n, percent)
     sets_by_id = sets.where("doc_id is not null")
-    postings = stored(sets_by_id.select("doc_id", "size", F.explode(F.arrays_zip("tokens", "ranks")).alias("p")).select(F.col("p.tokens").alias("token"), "doc_id", "size", F.col("p.ranks").alias("rank")), "postings")
+    postings = stored(sets_by_id.select("doc_id", "part", "size", F.explode(F.arrays_zip("tokens", "ranks")).alias("p")).select(F.col("p.tokens").alias("token"), "doc_id", "part", "size", F.col("p.ranks").alias("rank")), "postings")
 
     pairs = stored(_first_pairs(postings, percent), "pairs")
     links = stored(verify(pairs, sets_by_id, percent), "pairs-linked")
@@ -305,11 +314,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     by_class = sets.select("digest", "size", F.col("doc_id").alias("rep")).join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     found = keyed.join(by_class.select("digest", "size", F.coalesce("component", "rep").alias("component")), "digest")
     component = F.when((F.col("size") == 0) | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("component"))
-    return found.select("doc_id", F.col("size").alias("n_shingles"), component.alias("component_id"))
+    return found.select("doc_id", "digest", F.col("size").alias("n_shingles"), component.alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """docs without the rows that have a smaller id in their component; all columns stay. Null ids stay."""
-    found = near_duplicates(docs, id_col, text_col, n, percent)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    """docs without the rows that have a smaller id in their component; all columns stay. Null ids stay. Of rows that
+    repeat an id with different texts, those go whose own text has a smaller id in its component."""
+    found = _by_row(docs, id_col, text_col, n, percent)
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest")).distinct()
+    digest = F.md5(F.coalesce(docs[text_col].cast("string"), F.lit("")))
+    return docs.join(gone, (docs[id_col].cast("long") == gone["gone_id"]) & (digest == gone["gone_digest"]), "left_anti")

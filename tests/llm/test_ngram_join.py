@@ -1,15 +1,21 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from stratapoint.llm import ngram_join
 
 
-def brute(rows, n=5, percent=75):
+def _sets(texts, n=5):
     sets = []
-    for _, text in rows:
+    for text in texts:
         w = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split()
         sets.append({tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set())
+    return sets
+
+
+def brute(rows, n=5, percent=75):
+    sets = _sets([text for _, text in rows], n)
     parent = {i: i for i, _ in rows if i is not None}
 
     def root(i):
@@ -70,3 +76,29 @@ def test_drop_keeps_the_smallest_id(spark):
     text = " ".join(f"w{k}" for k in range(60))
     docs = spark.createDataFrame([(5, text, "a"), (3, text + " more", "b"), (9, "else", "c"), (None, text, "d")], "doc_id long, text string, source string")
     assert sorted(r.source for r in ngram_join.drop_near_duplicates(docs).collect()) == ["b", "c", "d"]
+
+
+def test_rows_that_repeat_an_id(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "FEW", 4)
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    monkeypatch.setattr(ngram_join, "HUBS", 1)
+    rng = random.Random(8)
+    rows = [(rng.randrange(60), t) for _, t in corpus(8)]
+    node = {}  # a text belongs to its smallest id
+    for i, t in rows:
+        node[t or ""] = min(i, node.get(t or "", i))
+    part = {(n, size): c for (n, size, c) in brute([(n, t) for t, n in node.items()])}
+    sizes = {t: s for t, s in zip(node, (len(x) for x in _sets(node)), strict=True)}
+    want = sorted((i, sizes[t or ""], part[(node[t or ""], sizes[t or ""])] if sizes[t or ""] else i) for i, t in rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("gone_id", F.lit("x")).repartition(5)
+    assert sorted(tuple(r) for r in ngram_join.near_duplicates(docs).collect()) == want
+    kept = sorted((r.doc_id, r.text or "") for r in ngram_join.drop_near_duplicates(docs).collect())
+    stays = {(i, t or "") for i, t in rows if not sizes[t or ""] or part[(node[t or ""], sizes[t or ""])] == i}
+    assert kept == sorted((i, t or "") for i, t in rows if (i, t or "") in stays)
+
+
+def test_a_clean_text_under_a_repeated_id_stays(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    other = " ".join(f"v{k}" for k in range(60))
+    docs = spark.createDataFrame([(3, text), (5, text), (5, other)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in ngram_join.drop_near_duplicates(docs).collect()) == [(3, text), (5, other)]
