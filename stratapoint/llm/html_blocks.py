@@ -11,14 +11,14 @@ BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header "
     "hgroup hr html iframe label legend li main menu nav noframes noscript object ol optgroup option p pre section select summary table tbody td textarea tfoot th thead title tr ul video audio".split()
 )
-RAW = frozenset("script style template svg math textarea title noscript iframe select".split())  # their text is none of the page's
+RAW = frozenset("script style template textarea title iframe select".split())  # their text is none of the page's
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE_BREAK = frozenset(("br", "wbr", "img", "input"))
 CLOSES_P = BLOCKS - {"button", "label", "option", "optgroup", "object", "video", "audio"}
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table", "thead", "tbody", "tfoot"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'=]|=\s*\"[^\"]*\"|=\s*'[^']*'|[=\"'])*+)(?:>|\Z)", re.S)
 _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 
@@ -42,7 +42,9 @@ def blocks(page: str | None) -> list[Block]:
     """The page's leaf blocks in order, with white space turned into single spaces; empty ones are left out.
 
     Unclosed and misnested tags are closed as browsers do for paragraphs, list items and cells. Comments, scripts,
-    styles and other raw text are dropped; a page that ends inside a tag or comment ends there.
+    styles and other raw text are dropped; one without an end tag is a tag like others, but for scripts and styles, whose
+    text goes on to the end. A page that ends inside a tag or comment ends there; a quote that no tag closes is a
+    character of its tag.
     """
     page = page or ""
     out: list[Block] = []
@@ -50,6 +52,7 @@ def blocks(page: str | None) -> list[Block]:
     parts: list[str] = []
     linked = 0
     in_link = 0
+    endless: set[str] = set()  # raw elements that no end tag follows
 
     def flush() -> None:
         nonlocal linked
@@ -102,10 +105,12 @@ def blocks(page: str | None) -> list[Block]:
                         break
         if tag in VOID or m[3].rstrip().endswith("/") and tag not in BLOCKS:
             continue
-        if tag in RAW:
+        if tag in RAW and tag not in endless:
             end = re.compile(rf"</{re.escape(tag)}\s*[^>]*(?:>|\Z)", re.I).search(page, at)
-            at = end.end() if end else len(page)
-            continue
+            if end or tag in ("script", "style"):
+                at = end.end() if end else len(page)
+                continue
+            endless.add(tag)
         stack.append((tag, _label(tag, m[3])))
         in_link += tag == "a"
     flush()

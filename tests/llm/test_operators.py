@@ -67,6 +67,19 @@ def test_blocks_close_what_is_open():
     assert blocks("<div class='ad x' id=top>t</div>")[0].path == ("div.ad.x#top",)
 
 
+def test_blocks_go_on_after_odd_markup():
+    def texts(page):
+        return [b.text for b in blocks(page)]
+
+    assert texts("<p>one <math><mi>x</mi></math> two</p><noscript><p>three</p></noscript>") == ["one x two", "three"]
+    assert texts("<p a\" b>odd</p><p class=\"c\">on</p>") == ["odd", "on"]
+    assert texts("<p title=\"a>b\" class='x>y'>quoted</p><img alt=\"it's\">on") == ["quoted", "on"]
+    assert texts("<p title=\"a>b") == ["b"]
+    assert texts("<p>a<select><option>u</select> b<p>c<select><option>d<p>e") == ["a", "b", "c", "d", "e"]  # a control parts the text around it
+    assert texts("<textarea>" * 20000 + "end") == ["end"]
+    assert texts("<p>a</p><script>var x = '<p>'") == ["a"]
+
+
 def test_labeller_on_unseen_layouts():
     rng = np.random.default_rng(99)
     pages = [(blocks(p), labels) for p, labels in (make(rng) for _ in range(150))]
